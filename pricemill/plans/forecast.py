@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -143,18 +145,22 @@ def fit_window_models(
 ) -> DataFrame:
     """One ridge regression per commodity on the flattened windows, as a parameter table.
 
-    The loop runs over the fixed commodity list; each fit is distributed over the rows of its commodity.
-    ``windows`` should be a stored table, since every fit reads it.
+    Each fit is distributed over the rows of its commodity, and a few fits run side by side; the list of
+    commodities is fixed. ``windows`` should be a stored table, since every fit reads it.
     """
-    rows = []
-    for commodity in commodities:
+
+    @inheritable_thread_target(spark)
+    def fit(commodity: str) -> tuple | None:
         training = windows.filter((F.col(KEY) == commodity) & F.col("is_train")).select(
             array_to_vector(F.flatten("steps")).alias("features"), F.col("target").alias("label")
         )
         if training.isEmpty():
-            continue
+            return None
         model = LinearRegression(regParam=reg_param, elasticNetParam=0.0, solver="normal").fit(training)
-        rows.append((commodity, float(model.intercept), [float(x) for x in model.coefficients]))
+        return commodity, float(model.intercept), [float(x) for x in model.coefficients]
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        rows = [row for row in pool.map(fit, commodities) if row]
     return spark.createDataFrame(rows, f"{KEY} string, intercept double, weights array<double>")
 
 

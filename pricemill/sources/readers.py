@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,17 +32,17 @@ def read_mapping(spark: SparkSession, path: str | None = None) -> DataFrame:
 def read_monthly_sheet(spark: SparkSession, path: str, skip_rows: int = 4) -> DataFrame:
     """Wide monthly sheet saved as CSV, with the header after ``skip_rows`` lines and blanks around names.
 
-    Only the head of the file reaches the driver, for the names and to tell its lines from data; all cells
-    stay text, as the cleaning step casts them.
+    Only the head of the file reaches the driver, for the names and to tell its lines from data. All cells
+    stay text: the cleaning step casts them, and drops rows without a period such as a line of units.
     """
     head = [r.value for r in spark.read.text(path).limit(skip_rows + 1).collect()]
-    width = head[-1].count(",") + 1
-    fields = ", ".join(f"c{i} string" for i in range(width))
-    cells = [spark.range(1).select(F.from_csv(F.lit(line), fields).alias("h")).select("h.*").first() for line in head]
-    names = [c.strip() for c in cells[-1] if c is not None]
-    head_cells = [row[0] for row in cells if row[0] is not None]
+    cells = list(csv.reader(head))
+    names = [c.strip() or f"Unnamed: {i}" for i, c in enumerate(cells[-1])]
     raw = spark.read.schema(", ".join(f"c{i} string" for i in range(len(names)))).csv(path)
-    return raw.filter(~F.coalesce(F.col("c0").isin(head_cells), F.lit(False))).toDF(*names)
+    for line in cells:
+        padded = [c or None for c in line[: len(names)]] + [None] * (len(names) - len(line))
+        raw = raw.filter(~reduce(and_, [F.col(f"c{i}").eqNullSafe(F.lit(c)) for i, c in enumerate(padded)]))
+    return raw.toDF(*names)
 
 
 def read_quotes(spark: SparkSession, landing: str) -> DataFrame:

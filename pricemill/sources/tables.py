@@ -83,8 +83,9 @@ class TableStore:
         """Full refresh. ``df`` must not read the table itself."""
         if any(f.rstrip("/").startswith(self._file_prefix(name)) for f in df.inputFiles()):
             raise ValueError(f"{name} cannot be replaced by a query that reads it; write to another table first")
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
-        return self.read(name)
+        written = df.hint("rebalance", *partition_by) if partition_by else df
+        written.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
+        return self.read(name, df.schema)
 
     def clone_empty(self, name: str, df: DataFrame) -> DataFrame:
         """Create the table with the columns of ``df`` and no rows."""
