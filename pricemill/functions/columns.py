@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import domain
 from .values import lookup
@@ -68,6 +69,15 @@ def day_or_null(c: Column) -> Column:
     return F.when(text.rlike(_DAY_TEXT), F.translate(text, "/", "-").try_cast("date"))
 
 
+def pick_day(df: DataFrame, candidates: Sequence[str]) -> Column:
+    """The chosen column as a date: as it is when it holds dates or times, parsed when it holds text."""
+    name = choose_column(df.columns, candidates)
+    if name is None:
+        return F.lit(None).cast("date")
+    typed = isinstance(df.schema[name].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    return F.col(f"`{name}`").cast("date") if typed else day_or_null(F.col(f"`{name}`"))
+
+
 def _first_of_month(year: Column, month: Column) -> Column:
     """First day of the month; NULL for months and years that do not exist."""
     return F.when(month.between(1, 12) & year.between(1, 9999), F.make_date(year, month, F.lit(1)))

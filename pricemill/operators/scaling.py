@@ -8,23 +8,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def span(low: Column, high: Column) -> Column:
+    """Width of a range, with 1 for a constant."""
+    return F.when(high == low, F.lit(1.0)).otherwise(high - low)
+
+
 def fit_min_max(df: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
     """One row per key with ``<feature>_min`` and ``<feature>_range``; a constant feature has range 1."""
-    low_high = [agg for f in features for agg in (F.min(f).alias(f"{f}_min"), F.max(f).alias(f"{f}_max"))]
-    stats = df.groupBy(key).agg(*low_high)
+    bounds = [c for f in features for c in (F.min(f), span(F.min(f), F.max(f)))]
+    names = [f"{f}_{part}" for f in features for part in ("min", "range")]
+    return df.groupBy(key).agg(*[c.alias(n) for c, n in zip(bounds, names)])
 
-    def span(f: str) -> Column:
-        width = F.col(f"{f}_max") - F.col(f"{f}_min")
-        return F.when(width == 0, F.lit(1.0)).otherwise(width).alias(f"{f}_range")
 
-    return stats.select(key, *[c for f in features for c in (F.col(f"{f}_min"), span(f))])
+def scale_columns(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Scaled features; the fitted bounds stay on the row for the way back."""
+    return df.withColumns({f: (F.col(f) - F.col(f"{f}_min")) / F.col(f"{f}_range") for f in features})
 
 
 def apply_min_max(df: DataFrame, params: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
-    """Scaled features; the fitted bounds stay on the row for the way back."""
-    return df.join(params, key).withColumns(
-        {f: (F.col(f) - F.col(f"{f}_min")) / F.col(f"{f}_range") for f in features}
-    )
+    return scale_columns(df.join(params, key), features)
 
 
 def unscaled(value: Column, feature: str) -> Column:

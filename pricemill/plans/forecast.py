@@ -8,12 +8,12 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import domain
 from ..functions.values import percent_change
-from ..operators.scaling import apply_min_max, fit_min_max, unscaled
+from ..operators.scaling import apply_min_max, scale_columns, span, unscaled
 from ..operators.sequences import training_windows, with_minimum_history
 from ..operators.series import filled_both_ways, last_rows, series_window
 
@@ -39,19 +39,30 @@ def scaled_windows(
     """Training windows of scaled features with the fitted bounds on each row.
 
     ``fit_scope="all"`` fits the scaler on all rows, including those later used for evaluation;
-    ``"train"`` uses only the rows that training windows see.
+    ``"train"`` uses only the rows that training windows see. Filling, fitting, scaling and windowing all
+    partition by commodity, so the whole matrix needs one exchange.
     """
     if fit_scope not in ("train", "all"):
         raise ValueError(f"fit_scope must be 'train' or 'all', not {fit_scope!r}")
-    filled = with_minimum_history(filled_features(features), [KEY], min_rows_above + 1)
-    fitted_on = filled
+    whole = Window.partitionBy(KEY)
+    numbered = (
+        filled_features(features)
+        .withColumns(
+            {"_row": F.row_number().over(series_window([KEY])), "_rows": F.count(F.lit(1)).over(whole)}
+        )
+        .filter(F.col("_rows") > min_rows_above)
+    )
+    last_seen = F.col("_rows")
     if fit_scope == "train":
-        cut = training_windows(filled, [KEY], [PRICE], length, PRICE, train_share).filter("is_train")
-        last_day = cut.groupBy(KEY).agg(F.max("price_date").alias("_last_train"))
-        fitted_on = filled.join(last_day, KEY).filter(F.col("price_date") <= F.col("_last_train"))
-    params = fit_min_max(fitted_on, KEY, FEATURES)
-    scaled = apply_min_max(filled, params, KEY, FEATURES)
-    return training_windows(scaled, [KEY], FEATURES, length, PRICE, train_share)
+        last_seen = length + F.floor(F.lit(train_share) * (F.col("_rows") - length))
+    seen = F.col("_row") <= last_seen
+    low = {f"{f}_min": F.min(F.when(seen, F.col(f))).over(whole) for f in FEATURES}
+    high = {f"{f}_max": F.max(F.when(seen, F.col(f))).over(whole) for f in FEATURES}
+    bounded = numbered.withColumns({**low, **high})
+    with_range = bounded.withColumns(
+        {f"{f}_range": span(F.col(f"{f}_min"), F.col(f"{f}_max")) for f in FEATURES}
+    ).drop(*high, "_row", "_rows")
+    return training_windows(scale_columns(with_range, FEATURES), [KEY], FEATURES, length, PRICE, train_share)
 
 
 # --- First-order autoregression, entirely in SQL aggregates ---

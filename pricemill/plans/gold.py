@@ -81,13 +81,13 @@ def fact_price_daily(
 ) -> DataFrame:
     """Prices with dimension keys and rolling metrics per commodity, region and source.
 
-    The calendar is broadcast, being bounded by its span; the other dimensions are left to Spark, which
-    broadcasts them by measured size. All windows share one partitioning and one sort.
+    No dimension is hinted: Spark broadcasts those whose measured size allows it and splits hot keys of
+    the others. All windows share one partitioning and one sort.
     """
     keyed = (
         all_prices(monthly, daily)
         .join(commodities.select("commodity_id", "commodity"), "commodity")
-        .join(F.broadcast(dates.select("date_id", F.col("date").alias("price_date"))), "price_date")
+        .join(dates.select("date_id", F.col("date").alias("price_date")), "price_date")
         .join(regions.select("region_id", "country", "region", "source"), ["country", "region", "source"])
     )
     series = ["commodity_id", "region_id", "source"]
@@ -138,7 +138,7 @@ def daily_across_sources(fact: DataFrame, dates: DataFrame) -> DataFrame:
         F.count_distinct("source").alias("source_count"),
     )
     attributes = ["year", "quarter", "month", "week", "is_weekend", "is_vietnam_public_holiday"]
-    return daily.join(F.broadcast(dates.select("date_id", *attributes)), "date_id").drop("date_id")
+    return daily.join(dates.select("date_id", *attributes), "date_id").drop("date_id")
 
 
 def gold_ml_features(fact: DataFrame, dates: DataFrame) -> DataFrame:

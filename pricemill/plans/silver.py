@@ -51,11 +51,9 @@ def standardize_monthly(raw: DataFrame, mapping: DataFrame | Mapping[str, str],
 
 def standardize_daily(raw: DataFrame, mapping: DataFrame | Mapping[str, str], now: Column) -> DataFrame:
     """Daily quotes in the common layout, before validation and deduplication."""
-    raw_date = C.choose_column(raw.columns, ["price_date", "date", "period"])
-    day = F.lit(None).cast("date") if raw_date is None else C.day_or_null(F.col(f"`{raw_date}`"))
     typed = raw.select(
         C.pick(raw, ["commodity", "product", "product_name"]).alias("raw_commodity"),
-        day.alias("price_date"),
+        C.pick_day(raw, ["price_date", "date", "period"]).alias("price_date"),
         C.pick(raw, ["price_usd_per_kg"], PRICE).alias("raw_per_kg"),
         C.pick(raw, ["price_usd", "close"], PRICE).alias("raw_close"),
         C.pick(raw, ["ticker", "symbol"]).alias("raw_ticker"),
@@ -143,5 +141,4 @@ def outside_calendar(observed: DataFrame, dim_date: DataFrame) -> DataFrame:
 
 
 def _calendar_days(dim_date: DataFrame) -> DataFrame:
-    # The calendar has one row per day of a fixed span, some ten thousand: its size cannot grow with the prices.
-    return F.broadcast(dim_date.select(F.col("date").alias("price_date")))
+    return dim_date.select(F.col("date").alias("price_date"))

@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.upsert import keyed_upsert
@@ -106,15 +106,23 @@ class TableStore:
         self.replace(name, df)
         return True
 
-    def upsert(self, name: str, incoming: DataFrame, keys: Sequence[str], date_col: str = "price_date") -> bool:
+    def upsert(
+        self,
+        name: str,
+        incoming: DataFrame,
+        keys: Sequence[str],
+        date_col: str = "price_date",
+        year: Column | None = None,
+    ) -> bool:
         """Merge by key into a table partitioned by year; the key must include the date column.
 
-        Only years present in the load are read and rewritten. An empty load changes nothing. Columns the
-        table does not have are added, and are NULL in older files.
+        ``year`` tells the year of a date column that holds text. Only years present in the load are read
+        and rewritten. An empty load changes nothing. Columns the table does not have are added, and are
+        NULL in older files.
         """
         if date_col not in keys:
             raise ValueError(f"keys must include {date_col}")
-        year = F.year(date_col)
+        year = F.year(date_col) if year is None else year
         # One value per calendar year.
         years = [r[0] for r in incoming.select(year).distinct().collect()]
         if not years:
@@ -122,21 +130,24 @@ class TableStore:
         try:
             existing = self.read(name)
         except AnalysisException:
-            existing = self.spark.createDataFrame([], incoming.schema)
+            self._write_years(incoming.withColumn(YEAR, year), name)
+            return True
         if YEAR in existing.columns:
             existing = existing.filter(_in_years(F.col(YEAR), years)).drop(YEAR)
         staged = run_folder(self.spark, "staged")
         keyed_upsert(existing, incoming, keys).withColumn(YEAR, year).write.parquet(staged)
+        self._write_years(self.spark.read.parquet(staged), name)
+        return True
+
+    def _write_years(self, df: DataFrame, name: str) -> None:
         # Rebalancing splits a large year over several tasks and files, and packs small ones.
         (
-            self.spark.read.parquet(staged)
-            .hint("rebalance", YEAR)
+            df.hint("rebalance", YEAR)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(YEAR)
             .parquet(self.path(name))
         )
-        return True
 
     def count(self, name: str) -> int:
         return self.read(name).count()

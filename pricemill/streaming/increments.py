@@ -48,7 +48,12 @@ def quote_stream(
     """Start the load of everything that has landed; the query ends when it is done."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_quotes(store, batch, now(), str(batch_id), **thresholds)
+        # Alerts, prices and rejects each read the batch.
+        kept = batch.persist()
+        try:
+            load_quotes(store, kept, now(), str(batch_id), **thresholds)
+        finally:
+            kept.unpersist()
 
     return (
         quotes.writeStream.foreachBatch(load)
