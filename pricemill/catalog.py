@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import domain
 from .functions import columns as C
 from .functions.calendar import calendar_columns
-from .functions.values import constant_frame, lookup
+from .functions.values import lookup
 from .operators import quality as Q
 from .operators import series as S
 from .operators.lookups import built_in_aliases, previous_close, resolve_alias
@@ -22,7 +22,7 @@ from .operators.upsert import keyed_upsert, replace_day_slice, with_missing_colu
 from .plans import alerts as A
 from .plans import forecast as FC
 from .plans import gold, serving, silver, summary
-from .plans.warehouse import MODELS, check_models
+from .plans.warehouse import check_models
 from .session import run_folder
 from .sources import driver_tables as D
 from .sources.readers import read_mapping, stream_quotes
@@ -135,8 +135,11 @@ def blank_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = D.table(spark, sf_dir, "events")
     kind = F.col("event_type")
     messy = (
-        F.when(kind == "view", F.lit("  ")).when(kind == "error", F.lit("")).when(kind == "click", F.lit(" Eur "))
-    ).otherwise(F.when(kind != "signup", kind))
+        F.when(kind == "view", "  ")
+        .when(kind == "error", "")
+        .when(kind == "click", " Eur ")
+        .when(kind != "signup", kind)
+    )
     return events.select(
         "event_id",
         C.blank_default(messy, domain.DAILY_REGION).alias("region"),
@@ -407,8 +410,8 @@ def yearly_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pair_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pair = serving.pair_correlation(D.frame(spark, sf_dir), "rice", "coffee")
-    return pair.withColumns({"correlation": rounded(F.col("correlation"), 6), "slope": rounded(F.col("slope"), 6)})\
-        .withColumn("intercept", rounded(F.col("intercept"), 2))
+    digits = {"correlation": 6, "slope": 6, "intercept": 2}
+    return pair.withColumns({c: rounded(F.col(c), n) for c, n in digits.items()})
 
 
 @query
@@ -428,15 +431,20 @@ def report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.toDF("month", "commodity", "price", "change_pct", "avg_7", "avg_30")
 
 
+def _stored_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The serving frame, stored, since each section of the summary reads it."""
+    return stored(spark, frame=D.frame(spark, sf_dir))["frame"]
+
+
 @query
 def summary_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = summary.summary_lines(D.frame(spark, sf_dir))
+    lines = summary.summary_lines(_stored_frame(spark, sf_dir))
     return lines.select(F.col("section").cast("long").alias("section"), "commodity", "line")
 
 
 @query
 def summary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.summary_text(D.frame(spark, sf_dir))
+    return summary.summary_text(_stored_frame(spark, sf_dir))
 
 
 # --- Incremental load and alerts ---
@@ -665,7 +673,8 @@ def forecast_stitch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forecast_insight(spark: SparkSession, sf_dir: str) -> DataFrame:
     closes = stored(spark, closes=D.closes(spark, sf_dir))["closes"]
     insight = FC.forecast_insight(_history(closes), FC.ar1_forecast(closes), currency="VND")
-    return insight.withColumns({"forecast_price": rounded(F.col("forecast_price"), 0), "change_pct": rounded(F.col("change_pct"))})
+    digits = {"forecast_price": 0, "change_pct": 4}
+    return insight.withColumns({c: rounded(F.col(c), n) for c, n in digits.items()})
 
 
 def _windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -735,10 +744,13 @@ def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def warehouse_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks on the whole warehouse built from the supplied tables."""
     m, d = D.silver_tables(spark, sf_dir)
-    dates, commodities = D.calendar(spark), gold.dim_commodity(read_mapping(spark))
-    regions = gold.dim_region(m, d)
-    fact = gold.fact_price_daily(m, d, commodities, dates, regions)
-    tables = {"fact_price_daily": stored(spark, fact=fact)["fact"], "silver_wb_prices": m, "silver_yf_prices": d}
-    tables.update(dim_date=dates, dim_commodity=commodities, dim_region=regions)
-    tables["gold_ml_features"] = gold.gold_ml_features(tables["fact_price_daily"], dates)
+    dates = D.calendar(spark)
+    tables = {"silver_wb_prices": m, "silver_yf_prices": d}
+    tables |= stored(
+        spark, dim_date=dates, dim_commodity=gold.dim_commodity(read_mapping(spark)), dim_region=gold.dim_region(m, d)
+    )
+    fact = gold.fact_price_daily(m, d, tables["dim_commodity"], tables["dim_date"], tables["dim_region"])
+    tables |= stored(spark, fact_price_daily=fact)
+    features = gold.gold_ml_features(tables["fact_price_daily"], tables["dim_date"])
+    tables |= stored(spark, gold_ml_features=features)
     return check_models(tables)

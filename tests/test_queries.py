@@ -56,3 +56,18 @@ def test_scan_reads_only_needed_columns(spark):
 def test_windows_of_the_fact_share_one_exchange(spark):
     text = plan(queries()["rolling_price_metrics"](spark, SF))
     assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_raw_rows_are_reduced_before_the_shuffle(spark):
+    text = plan(queries()["latest_load_per_day"](spark, SF))
+    assert text.index("functions=[max(") < text.index("Exchange hashpartitioning") < text.index("functions=[partial_max(")
+
+
+def test_validity_is_not_copied_into_a_second_filter(spark):
+    text = plan(D.monthly(spark, SF))
+    assert text.count("make_date") == 1
+
+
+def test_filters_reach_the_scan(spark):
+    text = plan(queries()["dq_accepted"](spark, SF))
+    assert "PushedFilters: [" in text and "Not(In(o_orderpriority" in text
