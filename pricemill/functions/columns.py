@@ -89,11 +89,12 @@ def parse_period(text: Column, year: Column, month: Column) -> Column:
     The period code is tried before the day pattern: no text fits both, and the code is the cheaper test.
     """
     is_code = (F.length(text) == 7) & text.contains("M")
-    code_year = F.substring(text, 1, 4).try_cast("int")
-    code_month = F.substring(text, 6, 2).try_cast("int")
+    # One short text and one parse; separate numbers for year and month would be cut out of the text again
+    # for each test of their range.
+    from_code = F.concat(F.substring(text, 1, 4), F.lit("-"), F.trim(F.substring(text, 6, 2)), F.lit("-01"))
     whole_year = _first_of_month(year, F.lit(1))
     by_parts = F.when(month.between(1, 12), _first_of_month(year, month)).otherwise(whole_year)
-    return F.when(is_code, _first_of_month(code_year, code_month)).otherwise(F.coalesce(day_or_null(text), by_parts))
+    return F.when(is_code, from_code.try_cast("date")).otherwise(F.coalesce(day_or_null(text), by_parts))
 
 
 def _any_like(c: Column, patterns: Sequence[str]) -> Column:

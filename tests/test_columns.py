@@ -19,6 +19,8 @@ def test_periods(make, rows):
         ("nan", None, None, None),
         ("2024M13", None, None, None),
         ("20x4M01", None, None, None),
+        ("2024M5 ", None, None, "2024-05-01"),
+        ("2024M13", 2024, 1, None),
         ("2024-02-30", None, None, None),
         (None, 2023, 7, "2023-07-01"),
         (None, 2023, None, "2023-01-01"),
