@@ -403,8 +403,8 @@ def price_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def yearly_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Box summary of the newest year and the four before it."""
-    return serving.yearly_distribution(D.frame(spark, sf_dir), years_back=4)
+    """Box summary of the newest year and the ten before it."""
+    return serving.yearly_distribution(D.frame(spark, sf_dir))
 
 
 @query
@@ -451,14 +451,14 @@ def summary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Orders as two loads, by customer, with an unknown market for some and one column more in the second."""
+    """Orders as two loads, by price, with an unknown market for some and one column more in the second."""
     orders = D.table(spark, sf_dir, "orders").select(
         F.to_date("o_orderdate").alias("price_date"),
         F.col("o_orderpriority").alias("commodity"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("source"),
         F.col("o_totalprice").alias("price_usd"),
         F.col("o_orderkey").alias("load_key"),
-        (F.col("o_custkey") % 2 == 0).alias("_second"),
+        (F.col("o_totalprice") >= 250000).alias("_second"),
     )
     existing = orders.filter(~F.col("_second")).drop("_second")
     return existing, orders.filter("_second").drop("_second").withColumn("ticker", F.lit("T"))

@@ -533,7 +533,7 @@ SELECT commodity, year, {quartile("0.25")} AS q1, {quartile("0.5")} AS median_pr
 FROM (SELECT commodity, year(price_date) AS year, list_sort(list(price)) AS l, count(*) AS n,
              {mean("price", FINE)} AS mean_price, min(price) AS min_price, max(price) AS max_price
       FROM frame GROUP BY 1, 2)
-WHERE year >= (SELECT max(year(price_date)) - 4 FROM frame)""",
+WHERE year >= (SELECT max(year(price_date)) - 10 FROM frame)""",
     "frame",
 )
 
@@ -615,7 +615,7 @@ sql(
 _LOADS = """loads AS (
     SELECT CAST(o_orderdate AS DATE) AS price_date, o_orderpriority AS commodity,
            nullif(o_orderstatus, 'P') AS source, o_totalprice AS price_usd, o_orderkey AS load_key,
-           o_custkey % 2 = 0 AS is_second FROM orders)"""
+           o_totalprice >= 250000 AS is_second FROM orders)"""
 
 
 def merged_sql(keys: str, columns: str) -> str:
