@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,17 +37,15 @@ def local_session(cores: int | str = "*", app: str = "pricemill", driver_memory:
 def shared_folder(spark: SparkSession) -> str:
     """Root for intermediate tables: the folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local master without that setting gets a temporary folder, and the choice is kept in the
-    session, so that every caller sees the same one.
+    Where that is unset, they go beside the managed tables, a place that all executors share as well. The choice is
+    kept in the session, so that every caller sees the same one. The library deletes nothing there: whoever runs the
+    jobs gives the folder a retention rule.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.pricemill.workDir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="pricemill-")
-    spark.conf.set("spark.pricemill.workDir", root)
-    return root
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/pricemill-work"
+        spark.conf.set("spark.pricemill.workDir", root)
+    return root.rstrip("/")
 
 
 def run_folder(spark: SparkSession, label: str) -> str:
