@@ -174,8 +174,7 @@ def wide_sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "5-LOW": "Cotton, A Index",
     }
     sheet = (
-        orders.filter(F.col("o_orderstatus") != "P")
-        .groupBy(F.date_format("o_orderdate", "yyyy'M'MM").alias("Unnamed"))
+        orders.groupBy(F.date_format("o_orderdate", "yyyy'M'MM").alias("Unnamed"))
         .agg(*[F.max(F.when(F.col("o_orderpriority") == p, F.col("o_totalprice"))).alias(h) for p, h in headers.items()])
     )
     raw = monthly_sheet_to_raw(sheet.toDF(*[c.strip() for c in sheet.columns]), D.now())
@@ -250,7 +249,7 @@ def date_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.to_date("o_orderdate").alias("date"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )
-    dates = D.calendar(spark).join(per_day, "date", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
+    dates = D.calendar(spark, sf_dir).join(per_day, "date", "left").withColumn("orders", F.coalesce("orders", F.lit(0)))
     return doubles(dates)
 
 
@@ -306,7 +305,7 @@ def commodity_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def cross_source_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = ["price_change_pct", "price_7d_avg", "price_30d_avg"]
-    daily = gold.daily_across_sources(D.fact(spark, sf_dir), D.calendar(spark))
+    daily = gold.daily_across_sources(D.fact(spark, sf_dir), D.calendar(spark, sf_dir))
     return doubles(daily).withColumns({c: rounded(F.col(c)) for c in means})
 
 
@@ -343,9 +342,10 @@ def frame_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filtered_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three chosen commodities in the last three years."""
-    chosen = serving.in_selection(D.frame(spark, sf_dir), ["rice", "coffee", "rubber"], date(1998, 1, 1))
-    return serving.last_years(chosen, 3).select("price_date", "commodity", "price", "price_30d")
+    """Three chosen commodities in the last three years of all data, up to a day."""
+    frame = _stored_frame(spark, sf_dir)
+    chosen = serving.in_selection(frame, ["rice", "coffee", "rubber"], end=date(2001, 6, 30))
+    return serving.last_years(chosen, 3, frame).select("price_date", "commodity", "price", "price_30d")
 
 
 @query
@@ -499,7 +499,7 @@ def previous_close_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alert_view(alerts: DataFrame) -> DataFrame:
-    return alerts.drop("created_at", "ai_comment").withColumn("pct_change", rounded(F.col("pct_change"), 6))
+    return alerts.drop("created_at").withColumn("pct_change", rounded(F.col("pct_change"), 6))
 
 
 @query
@@ -576,10 +576,10 @@ def stream_daily_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "increments")
     store = TableStore(spark, f"{folder}/tables")
     landing = f"{folder}/landing"
-    waves = ["1995-01-01", "1999-01-01", "2001-01-01", "2100-01-01"]
-    for start, end in zip(waves, waves[1:]):
-        day = F.col("quoted_on")
-        quotes.filter((day >= start) & (day < end)).write.mode("append").json(landing)
+    day = F.col("quoted_on")
+    wave = F.when(day < "1999-01-01", 0).when(day >= "2001-01-01", 2).when(day >= "1999-01-01", 1).otherwise(0)
+    for number in range(3):
+        quotes.filter(wave == number).write.mode("append").json(landing)
         stream = increments.quote_stream(stream_quotes(spark, landing), store, f"{folder}/state", D.now)
         stream.awaitTermination()
     return _alert_view(store.read(increments.ALERTS)).drop("price_year")
@@ -744,7 +744,7 @@ def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def warehouse_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All declared checks on the whole warehouse built from the supplied tables."""
     m, d = D.silver_tables(spark, sf_dir)
-    dates = D.calendar(spark)
+    dates = D.calendar(spark, sf_dir)
     tables = {"silver_wb_prices": m, "silver_yf_prices": d}
     tables |= stored(
         spark, dim_date=dates, dim_commodity=gold.dim_commodity(read_mapping(spark)), dim_region=gold.dim_region(m, d)

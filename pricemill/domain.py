@@ -45,6 +45,7 @@ MONTHLY_SOURCE = "WORLD_BANK"
 DAILY_SOURCE = "YAHOO_FINANCE"
 DAILY_MONTHLY_AVG_SOURCE = "YAHOO_FINANCE_MONTHLY_AVG"
 MONTHLY_RAW_SOURCE = "world_bank_pink_sheet"
+MISSING_PERIOD = "nan"
 DAILY_RAW_SOURCE = "yahoo_finance"
 
 MONTHLY_REGION, MONTHLY_COUNTRY = "global", "World"
@@ -106,6 +107,7 @@ SUMMARY_MARKS = {c: DISPLAY_MARKS[c] for c in ["rice", "coffee", "pepper", "cash
 
 SUMMARY_TITLE = "DỮ LIỆU THỊ TRƯỜNG NÔNG SẢN VIỆT NAM — "
 SUMMARY_RULE = "=" * 50
+SUMMARY_EMPTY = "Không có dữ liệu thị trường."
 SUMMARY_VERSUS = "so với tháng trước"
 SUMMARY_ALL = "TẤT CẢ MẶT HÀNG (giá hiện tại):"
 SUMMARY_YEARS = "LỊCH SỬ GIÁ TRUNG BÌNH THEO NĂM (Quy đổi {currency}/kg):"

@@ -28,11 +28,15 @@ def resolve_headers(columns: Sequence[str], keywords: Mapping[str, str]) -> dict
 def monthly_sheet_to_raw(
     sheet: DataFrame, now: Column, keywords: Mapping[str, str] = domain.SHEET_KEYWORDS
 ) -> DataFrame:
-    """Raw monthly rows from a wide sheet whose first column is the period."""
+    """Raw monthly rows from a wide sheet whose first column is the period.
+
+    A missing period becomes the text ``nan``, so that loading a sheet again replaces such a row; cleaning reads that
+    text as no period.
+    """
     headers = resolve_headers(sheet.columns, keywords)
     period = sheet.columns[0]
     wide = sheet.select(
-        F.col(f"`{period}`").cast("string").alias("price_date"),
+        F.coalesce(F.col(f"`{period}`").cast("string"), F.lit(domain.MISSING_PERIOD)).alias("price_date"),
         *[F.col(f"`{h}`").cast("string").alias(h) for h in headers],
     )
     return melt(wide, ["price_date"], list(headers), "original_name", "price_usd").select(

@@ -61,7 +61,8 @@ CTES = {
         QUALIFY row_number() OVER (PARTITION BY price_date, commodity, region ORDER BY ingested_at DESC, price DESC) = 1)""",
     "spine": """spine AS (
         SELECT CAST(day AS DATE) AS date
-        FROM generate_series(DATE '1995-01-01', DATE '2002-12-31', INTERVAL 1 DAY) AS g(day))""",
+        FROM (SELECT unnest(generate_series(make_date(year(min(d)), 1, 1), make_date(year(max(d)) + 1, 12, 31), INTERVAL 1 DAY))
+              AS day FROM (SELECT o_orderdate AS d FROM orders UNION ALL SELECT l_shipdate FROM lineitem)))""",
     # Calendar of each series joined to its observations, then carried forward.
     "dense": """bounds AS (
         SELECT commodity, region, min(price_date) AS lo, max(price_date) AS hi FROM observed GROUP BY ALL),
@@ -141,7 +142,9 @@ CTES = {
         SELECT 'ALT_' || commodity || '_' || strftime(price_date, '%Y%m%d') || '_'
                    || CAST(CAST(round_even(abs(pct_change), 0) AS BIGINT) AS VARCHAR) AS alert_id,
                price_date AS alert_date, commodity, old_price, new_price,
-               {rounded("pct_change", 6)} AS pct_change, threshold
+               {rounded("pct_change", 6)} AS pct_change, threshold,
+               commodity || ' ' || CASE WHEN pct_change > 0 THEN {quoted(domain.DIRECTION_UP)}
+                   ELSE {quoted(domain.DIRECTION_DOWN)} END || ' ' || printf('%.2f%%', abs(pct_change)) AS ai_comment
         FROM changes WHERE abs(pct_change) >= threshold)""",
     "ar1": """pairs AS (
         SELECT commodity, price_date, price, lag(price) OVER (PARTITION BY commodity ORDER BY price_date) AS prev
@@ -262,7 +265,7 @@ SELECT strftime(o_orderdate, '%YM%m') AS price_date, original_name, max(o_totalp
 FROM orders JOIN (VALUES ('1-URGENT', 'RICE, THAI 5%', 'rice'), ('2-HIGH', 'Coffee, Arabica', 'coffee'),
     ('3-MEDIUM', 'Cocoa beans', 'cocoa'), ('5-LOW', 'Cotton, A Index', 'cotton'))
     AS names(priority, original_name, commodity) ON o_orderpriority = priority
-WHERE o_orderstatus <> 'P' GROUP BY ALL""",
+GROUP BY ALL""",
 )
 sql(
     "alias_lookup_join",
@@ -451,9 +454,8 @@ sql(
     "filtered_range",
     """
 SELECT price_date, commodity, price, avg30 AS price_30d FROM frame
-WHERE commodity IN ('rice', 'coffee', 'rubber') AND price_date >= DATE '1998-01-01'
-  AND price_date >= (SELECT greatest(DATE '1998-01-01', CAST(max(price_date) - INTERVAL 3 YEAR AS DATE)) FROM frame
-                     WHERE commodity IN ('rice', 'coffee', 'rubber'))""",
+WHERE commodity IN ('rice', 'coffee', 'rubber') AND price_date <= DATE '2001-06-30'
+  AND price_date >= (SELECT greatest(min(price_date), CAST(max(price_date) - INTERVAL 3 YEAR AS DATE)) FROM frame)""",
     "frame",
 )
 sql(
@@ -533,7 +535,7 @@ SELECT commodity, year, {quartile("0.25")} AS q1, {quartile("0.5")} AS median_pr
 FROM (SELECT commodity, year(price_date) AS year, list_sort(list(price)) AS l, count(*) AS n,
              {mean("price", FINE)} AS mean_price, min(price) AS min_price, max(price) AS max_price
       FROM frame GROUP BY 1, 2)
-WHERE year >= (SELECT max(year(price_date)) - 10 FROM frame)""",
+QUALIFY year >= max(year) OVER (PARTITION BY commodity) - 10""",
     "frame",
 )
 

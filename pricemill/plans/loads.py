@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import domain
 from ..operators.reshape import monthly_sheet_to_raw
 from ..sources.tables import TableStore, stored
 from . import forecast as FC
@@ -16,6 +15,7 @@ MONTHLY_RAW = "bronze.wb_prices_raw"
 FEATURES = "gold.gold_ml_features"
 FORECAST = "gold.forecast_lstm"
 MODELS, SCALERS, ERRORS = "ml.window_models", "ml.window_scalers", "ml.holdout_errors"
+SKIPPED = "ml.skipped_commodities"
 
 
 def load_monthly_sheet(store: TableStore, sheet: DataFrame, now: Column) -> int:
@@ -26,10 +26,17 @@ def load_monthly_sheet(store: TableStore, sheet: DataFrame, now: Column) -> int:
     return store.count(MONTHLY_RAW)
 
 
-def train(store: TableStore, commodities: Sequence[str] = tuple(domain.COMMODITY_IDS), fit_scope: str = "train") -> DataFrame:
-    """Fit one model per commodity on the feature mart, store parameters and scaler, return the errors."""
+def train(store: TableStore, commodities: Sequence[str] | None = None, fit_scope: str = "train") -> DataFrame:
+    """Fit one model per commodity on the feature mart, store parameters and scaler, return the errors.
+
+    Without a list, every commodity with windows gets a model; those with too short a history are stored in SKIPPED.
+    """
     features = store.read(FEATURES)
     windows = stored(store.spark, windows=FC.scaled_windows(features, fit_scope))["windows"]
+    keys = windows.select("commodity").distinct()
+    store.replace(SKIPPED, features.groupBy("commodity").agg(F.count("*").alias("days")).join(keys, "commodity", "left_anti"))
+    if commodities is None:
+        commodities = sorted(r.commodity for r in keys.collect())  # one row per commodity
     models = store.replace(MODELS, FC.fit_window_models(windows, commodities, store.spark))
     store.replace(SCALERS, FC.window_scaler(windows))
     return store.replace(ERRORS, FC.window_holdout_error(windows, models))

@@ -88,9 +88,12 @@ def in_selection(
     return kept
 
 
-def last_years(df: DataFrame, years: int) -> DataFrame:
-    """Rows of the last n years, counted back from the newest day; the bound is a scalar subquery, not a join."""
-    start = df.agg(F.greatest(F.min("price_date"), F.add_months(F.max("price_date"), -12 * years))).scalar()
+def last_years(df: DataFrame, years: int, whole: DataFrame) -> DataFrame:
+    """Rows of the last n years, counted back from the newest day of the whole data, of which ``df`` is a selection.
+
+    The bound is a scalar subquery, not a join; ``whole`` should be a stored table.
+    """
+    start = whole.agg(F.greatest(F.min("price_date"), F.add_months(F.max("price_date"), -12 * years))).scalar()
     return df.filter(F.col("price_date") >= start)
 
 

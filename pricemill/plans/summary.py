@@ -41,7 +41,7 @@ def summary_lines(frame: DataFrame, currency: str = "USD", top: int = 5, years:
     movers = latest.orderBy(size.desc(), "commodity").limit(top).select(*_line(2, -size, moved), "commodity")
     priced = F.format_string(f"  %s: %.4f {currency}/kg", _name(), F.col("price"))
     prices = latest.select(*_line(4, -F.col("price"), priced), "commodity")
-    # At most one entry per commodity of the fixed list and year.
+    # One entry per commodity and year.
     entries = F.array_sort(
         F.collect_list(F.struct("commodity", F.format_string("%s: %s", _name(False), "mean_price").alias("text")))
     )
@@ -94,9 +94,9 @@ def summary_lines(frame: DataFrame, currency: str = "USD", top: int = 5, years:
 
 
 def summary_text(frame: DataFrame, currency: str = "USD") -> DataFrame:
-    """The summary as one text. It has one line per commodity of the fixed list, so it stays a page long."""
-    known = frame.filter(F.col("commodity").isin(*domain.COMMODITY_IDS))
+    """The summary as one text, with a line for every commodity; a frame without rows says so."""
     lines = F.array_sort(F.collect_list(F.struct("section", "place", "commodity", "line")))
-    return summary_lines(known, currency).agg(
-        F.array_join(F.transform(lines, lambda e: e["line"]), "\n").alias("summary")
+    text = F.array_join(F.transform(lines, lambda e: e["line"]), "\n")
+    return summary_lines(frame, currency).agg(
+        F.when(F.count(F.lit(1)) == 0, F.lit(domain.SUMMARY_EMPTY)).otherwise(text).alias("summary")
     )

@@ -34,7 +34,7 @@ MONTHLY_NAMES = {
     "5-LOW": "Rubber",
 }
 SCOPE = ["rice", "coffee", "cocoa", "cotton", "rubber"]
-CALENDAR_START, CALENDAR_END, AS_OF = date(1995, 1, 1), date(2002, 12, 31), date(2001, 8, 1)
+AS_OF = date(2001, 8, 1)
 LOADED_FROM = "2002-01-01 00:00:00"
 
 
@@ -85,12 +85,17 @@ def raw_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calendar(spark: SparkSession) -> DataFrame:
-    return gold.dim_date(spark, AS_OF, CALENDAR_START, CALENDAR_END)
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole years around all dated rows, and the year after them."""
+    days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("d"))
+    days = days.unionAll(table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("d")))
+    ends = days.agg(F.year(F.min("d")).alias("first"), F.year(F.max("d")).alias("last")).first()
+    first, last = ends.first or AS_OF.year, ends.last or AS_OF.year
+    return gold.dim_date(spark, date(last, 1, 1), date(first, 1, 1), date(last + 1, 12, 31))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.clean_daily(raw_daily(spark, sf_dir), built_in_aliases(), calendar(spark), now(), SCOPE)
+    return silver.clean_daily(raw_daily(spark, sf_dir), built_in_aliases(), calendar(spark, sf_dir), now(), SCOPE)
 
 
 def monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,13 +110,13 @@ def silver_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     m, d = silver_tables(spark, sf_dir)
-    return gold.fact_price_daily(
-        m, d, gold.dim_commodity(read_mapping(spark)), calendar(spark), gold.dim_region(m, d)
-    )
+    # Stored, so that its measured size decides about a broadcast: it has a few rows, but its plan reads all prices.
+    regions = stored(spark, regions=gold.dim_region(m, d))["regions"]
+    return gold.fact_price_daily(m, d, gold.dim_commodity(read_mapping(spark)), calendar(spark, sf_dir), regions)
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.gold_ml_features(fact(spark, sf_dir), calendar(spark))
+    return gold.gold_ml_features(fact(spark, sf_dir), calendar(spark, sf_dir))
 
 
 def frame(spark: SparkSession, sf_dir: str, currency: str = "USD") -> DataFrame:

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import csv
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,17 +30,18 @@ def read_mapping(spark: SparkSession, path: str | None = None) -> DataFrame:
 def read_monthly_sheet(spark: SparkSession, path: str, skip_rows: int = 4) -> DataFrame:
     """Wide monthly sheet saved as CSV, with the header after ``skip_rows`` lines and blanks around names.
 
-    Only the head of the file reaches the driver, for the names and to tell its lines from data. All cells
-    stay text: the cleaning step casts them, and drops rows without a period such as a line of units.
+    The first lines are told by their place in the file, so a later line that repeats one of them stays. Only they
+    reach the driver, for the names. All cells stay text: the cleaning step casts them, and reads a row without a
+    period, such as a line of units, as undated.
     """
-    head = [r.value for r in spark.read.text(path).limit(skip_rows + 1).collect()]
-    cells = list(csv.reader(head))
-    names = [c.strip() or f"Unnamed: {i}" for i, c in enumerate(cells[-1])]
-    raw = spark.read.schema(", ".join(f"c{i} string" for i in range(len(names)))).csv(path)
-    for line in cells:
-        padded = [c or None for c in line[: len(names)]] + [None] * (len(names) - len(line))
-        raw = raw.filter(~reduce(and_, [F.col(f"c{i}").eqNullSafe(F.lit(c)) for i, c in enumerate(padded)]))
-    return raw.toDF(*names)
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
+    )
+    head = lines.filter("block = 0").orderBy("line").limit(skip_rows + 1).collect()
+    names = [c.strip() or f"Unnamed: {i}" for i, c in enumerate(next(csv.reader([head[-1].value])))]
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    body = lines.filter((F.col("block") > 0) | (F.col("line") > head[-1].line)).filter("trim(value) <> ''")
+    return body.select(F.from_csv("value", schema).alias("cells")).select("cells.*").toDF(*names)
 
 
 def read_quotes(spark: SparkSession, landing: str) -> DataFrame:

@@ -74,16 +74,18 @@ class TableStore:
         reader = self.spark.read.option("mergeSchema", "true") if schema is None else self.spark.read.schema(schema)
         try:
             return reader.parquet(self.path(name))
-        except AnalysisException:
-            if schema is None:
+        except AnalysisException as error:
+            if schema is None or not _absent(error):
                 raise
             return self.spark.createDataFrame([], schema)
 
     def replace(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        """Full refresh. ``df`` must not read the table itself."""
-        if any(f.rstrip("/").startswith(self._file_prefix(name)) for f in df.inputFiles()):
-            raise ValueError(f"{name} cannot be replaced by a query that reads it; write to another table first")
-        written = df.hint("rebalance", *partition_by) if partition_by else df
+        """Full refresh. The rows are written aside first and then copied over the table, so a query that fails leaves
+        the table as it was, and a query may read the table that it replaces."""
+        staged = run_folder(self.spark, "replace")
+        df.write.parquet(staged)
+        ready = self.spark.read.schema(df.schema).parquet(staged)
+        written = ready.hint("rebalance", *partition_by) if partition_by else ready
         written.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name))
         return self.read(name, df.schema)
 
@@ -129,7 +131,9 @@ class TableStore:
             return False
         try:
             existing = self.read(name)
-        except AnalysisException:
+        except AnalysisException as error:
+            if not _absent(error):
+                raise
             self._write_years(incoming.withColumn(YEAR, year), name)
             return True
         if YEAR in existing.columns:
@@ -155,9 +159,9 @@ class TableStore:
     def export_csv(self, df: DataFrame, path: str) -> None:
         df.write.mode("overwrite").option("header", True).csv(path)
 
-    def _file_prefix(self, name: str) -> str:
-        path = self.path(name)
-        return path if "://" in path or path.startswith("file:") else f"file://{path}"
+
+def _absent(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def _in_years(column, years):

@@ -7,6 +7,7 @@ executor leaves the same tables.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -45,13 +46,18 @@ def quote_stream(
     now: Callable[[], Column] = F.localtimestamp,
     **thresholds,
 ) -> StreamingQuery:
-    """Start the load of everything that has landed; the query ends when it is done."""
+    """Start the load of everything that has landed; the query ends when it is done.
+
+    Batches count from 0 in each checkpoint, so loads are named by checkpoint and batch: a replay replaces its own
+    rejects, and another stream's stay.
+    """
+    run = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def load(batch: DataFrame, batch_id: int) -> None:
         # Alerts, prices and rejects each read the batch.
         kept = batch.persist()
         try:
-            load_quotes(store, kept, now(), str(batch_id), **thresholds)
+            load_quotes(store, kept, now(), f"{run}-{batch_id}", **thresholds)
         finally:
             kept.unpersist()
 

@@ -13,7 +13,9 @@ from pricemill.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     session = local_session(8, app="tests", driver_memory="6g")
     session.conf.set("spark.sql.shuffle.partitions", "4")
-    session.conf.set("spark.pricemill.workDir", str(tmp_path_factory.mktemp("shared")))
+    shared = str(tmp_path_factory.mktemp("shared"))
+    session.conf.set("spark.pricemill.workDir", shared)
+    session.sparkContext.setCheckpointDir(shared)
     yield session
     session.stop()
 

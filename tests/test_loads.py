@@ -21,6 +21,13 @@ def test_monthly_sheet_is_merged(spark, make, rows):
     assert got == [("2023M12", "1.0", "cocoa"), ("2024M01", "2.5", "cocoa"), ("2024M02", "3.0", "cocoa")]
 
 
+def test_monthly_sheet_with_a_unit_line_can_be_loaded_again(spark, make):
+    store = TableStore(spark, run_folder(spark, "loads"))
+    sheet = make([(None, 1.0, 9.0), ("2024M01", 2.0, 9.0)], SHEET)
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+    assert [loads.load_monthly_sheet(store, sheet, now) for _ in range(3)] == [2, 2, 2]
+
+
 def test_train_and_publish(spark, make):
     store = TableStore(spark, run_folder(spark, "loads"))
     rng = np.random.default_rng(1)
@@ -33,6 +40,7 @@ def test_train_and_publish(spark, make):
     store.replace(loads.FEATURES, make(values, "commodity string, price_date date, " + columns))
     errors = {r["commodity"]: r["mape"] for r in loads.train(store).collect()}
     assert set(errors) == {"rice", "coffee"} and all(0 < e < 50 for e in errors.values())
+    assert [tuple(r) for r in store.read(loads.SKIPPED).collect()] == [("cocoa", 40)]
     assert loads.publish_forecast(store) and loads.publish_forecast(store)
     published = store.read(loads.FORECAST)
     assert published.count() == 12

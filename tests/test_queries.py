@@ -9,7 +9,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "tools"))
 
 import compare  # noqa: E402
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from pricemill.catalog import QUERIES  # noqa: E402
+from pricemill.oracle import ORACLES  # noqa: E402
 from pricemill.sources import driver_tables as D  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -21,15 +23,15 @@ def con():
     return compare.duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result(spark, con, name):
     verdict = compare.compare(spark, con, name, SF)
     assert verdict.startswith(("ok", "rows only")), verdict
 
 
 def test_every_sql_has_a_query():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {"mllib_forecast", "mllib_holdout_error"}
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) - set(ORACLES) == {"mllib_forecast", "mllib_holdout_error"}
 
 
 def test_entry(spark):
@@ -40,13 +42,20 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - {"stream_daily_increment", "stored_upsert"} - {n for n in queries() if n.startswith("mllib")}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"stream_daily_increment", "stored_upsert"} - {n for n in QUERIES if n.startswith("mllib")}))
 def test_no_pairwise_joins_or_python_rows(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for operator in ("NestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert operator not in text
 
 
+def test_no_exchange_of_all_prices_by_market(spark):
+    """The market dimension is stored before the fact joins it, so its plan does not read the prices again."""
+    text = plan(QUERIES["star_fact"](spark, SF))
+    assert "hashpartitioning(country" not in text.split("== Initial Plan ==")[-1] or "BroadcastHashJoin" in text
+    assert text.count("/monthly-") <= 2 and text.count("/daily-") <= 2
+
+
 def test_scan_reads_only_needed_columns(spark):
     text = plan(D.raw_monthly(spark, SF).select("period"))
     assert "l_tax" not in text and "l_comment" not in text
@@ -54,12 +63,12 @@ def test_scan_reads_only_needed_columns(spark):
 
 
 def test_windows_of_the_fact_share_one_exchange(spark):
-    text = plan(queries()["rolling_price_metrics"](spark, SF))
+    text = plan(QUERIES["rolling_price_metrics"](spark, SF))
     assert text.count("Exchange hashpartitioning") == 2
 
 
 def test_raw_rows_are_reduced_before_the_shuffle(spark):
-    text = plan(queries()["latest_load_per_day"](spark, SF))
+    text = plan(QUERIES["latest_load_per_day"](spark, SF))
     assert text.index("functions=[max(") < text.index("Exchange hashpartitioning") < text.index("functions=[partial_max(")
 
 
@@ -69,5 +78,5 @@ def test_validity_is_not_copied_into_a_second_filter(spark):
 
 
 def test_filters_reach_the_scan(spark):
-    text = plan(queries()["dq_accepted"](spark, SF))
+    text = plan(QUERIES["dq_accepted"](spark, SF))
     assert "PushedFilters: [" in text and "Not(In(o_orderpriority" in text

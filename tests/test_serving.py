@@ -38,9 +38,9 @@ def test_selection_keeps_earlier_history_in_rolling_values(frame):
     kept = serving.in_selection(frame, ["rice"], dt.date(2022, 3, 1), dt.date(2022, 3, 2))
     assert kept.count() == 2
     assert all(r["price_change_pct"] is not None for r in kept.collect())
-    bounds = serving.date_bounds(serving.last_years(frame, 1)).first()
+    bounds = serving.date_bounds(serving.last_years(frame, 1, frame)).first()
     assert bounds["min_date"] == dt.date(2023, 3, 10) and bounds["max_date"] == dt.date(2024, 3, 10)
-    assert serving.date_bounds(serving.last_years(frame, 5)).first()["rows"] == 2400
+    assert serving.date_bounds(serving.last_years(frame, 5, frame)).first()["rows"] == 2400
     assert [r[0] for r in serving.members(frame).collect()] == ["coffee", "rice", "tea"]
 
 
@@ -74,11 +74,24 @@ def test_report_is_sorted_by_day(frame):
     assert [r[0] for r in table.limit(3).collect()] == ["03/2024"] * 3
 
 
+def test_period_is_counted_from_the_whole_data(frame):
+    ended = frame.filter("price_date < '2023-01-01'")
+    assert serving.last_years(ended, 1, frame).count() == 0 < serving.last_years(ended, 1, ended).count()
+
+
+def test_summary_of_nothing_says_so(frame):
+    assert summary.summary_text(frame.filter("false")).first()[0] == domain.SUMMARY_EMPTY
+
+
+def test_summary_names_every_commodity(frame):
+    text = summary.summary_text(frame).first()[0]
+    assert all(text.count(label) for label in ["Gạo", "Cà phê", "tea: 2.0000"])
+
+
 def test_summary(frame):
-    lines = summary.summary_text(frame).first()[0].split("\n")
+    lines = summary.summary_text(frame.filter("commodity <> 'tea'")).first()[0].split("\n")
     assert lines[0] == domain.SUMMARY_TITLE + "03/2024"
     assert lines[1] == "=" * 50
-    # Tea is outside the commodity list.
     assert lines[2].startswith("☕ Cà phê: 4.0050 USD/kg  (▼")
     assert lines[3].startswith("🌾 Gạo: 2.7990 USD/kg  (▲")
     assert lines[4:6] == ["", domain.SUMMARY_ALL]
