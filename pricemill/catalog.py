@@ -21,8 +21,7 @@ from .operators.sequences import training_windows, with_minimum_history
 from .operators.upsert import keyed_upsert, replace_day_slice, with_missing_columns
 from .plans import alerts as A
 from .plans import forecast as FC
-from .plans import gold, serving, silver, summary
-from .plans.warehouse import check_models
+from .plans import gold, serving, silver, summary, warehouse
 from .session import run_folder
 from .sources import driver_tables as D
 from .sources.readers import read_mapping, stream_quotes
@@ -420,6 +419,17 @@ def trend_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.trend_line(pair).withColumns({"x": rounded(F.col("x"), 3), "y": rounded(F.col("y"), 3)})
 
 
+@query
+def displayed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of the latest rows as a page shows them, in both currencies."""
+    latest = serving.latest_prices(D.frame(spark, sf_dir))
+    return latest.select(
+        "commodity",
+        serving.price_text(F.col("price")).alias("usd"),
+        serving.price_text(F.col("price") * domain.USD_TO_VND, "VND").alias("vnd"),
+    )
+
+
 @query
 def yearly_means_recent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(serving.yearly_means(D.frame(spark, sf_dir)))
@@ -679,14 +689,14 @@ def forecast_insight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     features = stored(spark, features=_features(spark, sf_dir))["features"]
-    return features, stored(spark, windows=FC.scaled_windows(features))["windows"]
+    return features, FC.stored_windows(FC.scaled_windows(features))
 
 
 @query
 def mllib_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast of regressions over whole windows."""
     features, windows = _windows(spark, sf_dir)
-    models = FC.fit_window_models(windows, D.SCOPE, spark)
+    models = FC.fit_window_models(windows)
     return FC.window_forecast(features, models, FC.window_scaler(windows))
 
 
@@ -694,7 +704,7 @@ def mllib_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mllib_holdout_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error of the same models on the held-out windows."""
     _, windows = _windows(spark, sf_dir)
-    return FC.window_holdout_error(windows, FC.fit_window_models(windows, D.SCOPE, spark))
+    return FC.window_holdout_error(windows, FC.fit_window_models(windows))
 
 
 # --- Data quality ---
@@ -742,15 +752,35 @@ def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def warehouse_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks on the whole warehouse built from the supplied tables."""
-    m, d = D.silver_tables(spark, sf_dir)
-    dates = D.calendar(spark, sf_dir)
-    tables = {"silver_wb_prices": m, "silver_yf_prices": d}
-    tables |= stored(
-        spark, dim_date=dates, dim_commodity=gold.dim_commodity(read_mapping(spark)), dim_region=gold.dim_region(m, d)
-    )
-    fact = gold.fact_price_daily(m, d, tables["dim_commodity"], tables["dim_date"], tables["dim_region"])
-    tables |= stored(spark, fact_price_daily=fact)
-    features = gold.gold_ml_features(tables["fact_price_daily"], tables["dim_date"])
-    tables |= stored(spark, gold_ml_features=features)
-    return check_models(tables)
+    """The whole warehouse built as stored tables from the supplied ones; the report of all declared checks."""
+    return warehouse.build(*_warehouse(spark, sf_dir), stop_on_failure=False)
+
+
+@query
+def warehouse_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same build, which stops where a check finds rows: rubber is outside the scope of the daily prices. Which
+    models were built."""
+    store, sources, settings = _warehouse(spark, sf_dir)
+    try:
+        warehouse.build(store, sources, settings)
+    except warehouse.ChecksFailed:
+        pass
+    built = [(n, store.exists(f"{m.layer}.{n}")) for n, m in warehouse.MODELS.items()]
+    return spark.createDataFrame(built, "model string, built boolean")
+
+
+def _warehouse(spark: SparkSession, sf_dir: str) -> tuple[TableStore, dict[str, DataFrame], warehouse.Settings]:
+    first, last = D.years(spark, sf_dir)
+    sources = {
+        "yf_prices_raw": D.raw_daily(spark, sf_dir),
+        "wb_prices_raw": D.raw_monthly(spark, sf_dir),
+        "commodity_mapping": read_mapping(spark),
+    }
+    settings = warehouse.Settings(
+        as_of=date(last, 1, 1),
+        now=D.now(),
+        calendar_start=date(first, 1, 1),
+        calendar_end=date(last + 1, 12, 31),
+        scope=D.SCOPE,
+    )
+    return TableStore(spark, run_folder(spark, "warehouse")), sources, settings

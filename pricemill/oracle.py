@@ -527,6 +527,12 @@ def quartile(share: str) -> str:
     )
 
 
+sql(
+    "displayed_prices",
+    """
+SELECT commodity, printf('%.4f', price) AS usd, format('{:,}', CAST(round_even(price * 25000, 0) AS BIGINT)) AS vnd FROM latest""",
+    "latest",
+)
 sql(
     "yearly_distribution",
     f"""
@@ -884,4 +890,13 @@ def _quality_sql() -> str:
     return "\nUNION ALL ".join(rows)
 
 
+sql(
+    "warehouse_gate",
+    """
+SELECT model, model IN ('dim_date', 'dim_commodity', 'silver_wb_prices', 'silver_yf_prices')
+    OR NOT EXISTS (SELECT 1 FROM daily WHERE commodity NOT IN ('rice', 'coffee', 'cocoa', 'cotton')) AS built
+FROM (VALUES ('dim_date'), ('dim_commodity'), ('silver_wb_prices'), ('silver_yf_prices'), ('dim_region'),
+    ('fact_price_daily'), ('gold_ml_features'), ('gold_monthly_combined')) AS m(model)""",
+    "daily",
+)
 sql("warehouse_quality", _quality_sql().replace("AS check_name", 'AS "check"'), "across", "spine")

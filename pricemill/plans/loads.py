@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.reshape import monthly_sheet_to_raw
-from ..sources.tables import TableStore, stored
+from ..sources.tables import TableStore
 from . import forecast as FC
 
 MONTHLY_RAW = "bronze.wb_prices_raw"
@@ -32,12 +32,10 @@ def train(store: TableStore, commodities: Sequence[str] | None = None, fit_scope
     Without a list, every commodity with windows gets a model; those with too short a history are stored in SKIPPED.
     """
     features = store.read(FEATURES)
-    windows = stored(store.spark, windows=FC.scaled_windows(features, fit_scope))["windows"]
+    windows = FC.stored_windows(FC.scaled_windows(features, fit_scope))
     keys = windows.select("commodity").distinct()
     store.replace(SKIPPED, features.groupBy("commodity").agg(F.count("*").alias("days")).join(keys, "commodity", "left_anti"))
-    if commodities is None:
-        commodities = sorted(r.commodity for r in keys.collect())  # one row per commodity
-    models = store.replace(MODELS, FC.fit_window_models(windows, commodities, store.spark))
+    models = store.replace(MODELS, FC.fit_window_models(windows, commodities))
     store.replace(SCALERS, FC.window_scaler(windows))
     return store.replace(ERRORS, FC.window_holdout_error(windows, models))
 

@@ -85,12 +85,17 @@ def raw_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole years around all dated rows, and the year after them."""
+def years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """First and last year of all dated rows."""
     days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("d"))
     days = days.unionAll(table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("d")))
     ends = days.agg(F.year(F.min("d")).alias("first"), F.year(F.max("d")).alias("last")).first()
-    first, last = ends.first or AS_OF.year, ends.last or AS_OF.year
+    return ends.first or AS_OF.year, ends.last or AS_OF.year
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole years around all dated rows, and the year after them."""
+    first, last = years(spark, sf_dir)
     return gold.dim_date(spark, date(last, 1, 1), date(first, 1, 1), date(last + 1, 12, 31))
 
 

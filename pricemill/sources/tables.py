@@ -153,6 +153,15 @@ class TableStore:
             .parquet(self.path(name))
         )
 
+    def exists(self, name: str) -> bool:
+        try:
+            self.spark.read.parquet(self.path(name))
+        except AnalysisException as error:
+            if not _absent(error):
+                raise
+            return False
+        return True
+
     def count(self, name: str) -> int:
         return self.read(name).count()
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..plans.alerts import Increment, daily_increment
 from ..session import run_folder
-from ..sources.tables import TableStore
+from ..sources.tables import TableStore, stored
 
 PRICES, ALERTS, REJECTS = "bronze.yf_prices_raw", "bronze.price_alerts", "bronze.quote_rejects"
 
@@ -33,6 +33,8 @@ def apply_increment(store: TableStore, increment: Increment, prices: str = PRICE
 
 def load_quotes(store: TableStore, quotes: DataFrame, now: Column, load_id: str, **thresholds) -> None:
     """Batch load of quotes into the store; ``load_id`` names the load, so that it can be repeated."""
+    # Prices, alerts and rejects each read the load; it is parsed once.
+    quotes = stored(store.spark, quotes=quotes)["quotes"]
     history = store.read(PRICES, schemas.BRONZE_DAILY)
     increment = daily_increment(quotes, history, now, **thresholds)
     apply_increment(store, increment)
@@ -54,12 +56,7 @@ def quote_stream(
     run = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        # Alerts, prices and rejects each read the batch.
-        kept = batch.persist()
-        try:
-            load_quotes(store, kept, now(), f"{run}-{batch_id}", **thresholds)
-        finally:
-            kept.unpersist()
+        load_quotes(store, batch, now(), f"{run}-{batch_id}", **thresholds)
 
     return (
         quotes.writeStream.foreachBatch(load)

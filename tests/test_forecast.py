@@ -114,7 +114,7 @@ def test_ar1_follows_a_line(make, rows):
 
 def test_window_models_match_brute_force(spark, features, series):
     windows = FC.scaled_windows(features).cache()
-    models = FC.fit_window_models(windows, ["rice", "coffee"], spark)
+    models = FC.fit_window_models(windows, ["rice", "coffee"])
     assert models.count() == 1
     table = filled(series)
     low, span = table[:78].min(0), np.ptp(table[:78], axis=0)
