@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,21 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pack(t) for t in bytes_of(b.column(2))], pa.binary())], ["id", "tag", "text"])
+
+
+def packed(texts: DataFrame) -> DataFrame:
+    """Keyed texts compressed one by one, for a shuffle that carries them whole."""
+    return texts.mapInArrow(_packed, "id long, tag long, text binary")
+
+
+def unpacked(column: pa.Array) -> list[bytes]:
+    return [zstandard.decompress(x) for x in column.to_pylist()]
+
+
 def runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Union of half-open intervals as maximal disjoint ones, in order; touching ones merge."""
     if not len(starts):
@@ -66,19 +82,20 @@ def runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, root) for every node of edges (u, v: long); root is the smallest node that can be reached.
 
-    Every round takes the smallest label among a node's neighbours, then jumps from each label to the label of that
-    label, so the number of rounds grows with the logarithm of the longest chain. The labels are stored after each
-    round; a hub's edges are aggregated before they move, and joins on a hub can be split.
+    In every round each tree of nodes with one root hangs itself below the smallest root among its neighbours, then
+    nodes jump to the root of their root, so the number of rounds grows with the logarithm of the longest chain. The
+    labels are stored after each round; a hub's edges are aggregated before they move, and joins on a hub can be split.
     """
     both = stored(edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = stored(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("root")))
     for _ in range(rounds):
-        near = both.join(labels.withColumnRenamed("node", "v"), "v").groupBy(F.col("u").alias("node")).agg(F.min("root").alias("m"))
-        low = labels.join(near, "node").select("node", F.least("root", "m").alias("to"), F.col("root").alias("was"))
-        jump = labels.select(F.col("node").alias("to"), F.col("root").alias("far"))
-        labels_next = stored(low.join(jump, "to").select("node", F.least("to", "far").alias("root"), "was"))
-        changed = labels_next.where("root <> was").limit(1).count()
-        labels = labels_next.select("node", "root")
+        seen = both.join(labels.select(F.col("node").alias("v"), F.col("root").alias("m")), "v").groupBy(F.col("u").alias("node")).agg(F.min("m").alias("m"))
+        lower = labels.join(seen, "node").where("m < root").groupBy("root").agg(F.min("m").alias("to"))
+        hung = stored(labels.join(lower, "root", "left").select("node", F.coalesce("to", "root").alias("root"), F.col("root").alias("was")))
+        above = hung.select(F.col("node").alias("root"), F.col("root").alias("far"))
+        jumped = stored(hung.join(above, "root").select("node", F.least("root", "far").alias("root"), "was"))
+        changed = jumped.where("root <> was").limit(1).count()
+        labels = jumped.select("node", "root")
         if not changed:
             return labels
     raise RuntimeError(f"components did not settle within {rounds} rounds")
