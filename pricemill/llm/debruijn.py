@@ -1,11 +1,11 @@
 """Repeated word passages by compaction of a de Bruijn graph.
 
-An edge of the graph is a window of 50 words, from the node of its first 49 to the node of its last 49. Edges are kept
-in buckets by anchor, as runs of consecutive windows (`anchors`). A run whose class also occurs under a smaller
-document id repeats as a whole. What is left open is expanded into edges: a node is branching if different edges, or
-the end of a run, leave or reach it; the edges between two branching nodes are compacted to one path by joining them
-with the branching nodes. A path occurs as a whole or not at all, so its smallest source id decides about all its
-windows, and the coordinates of its occurrences say which words go.
+An edge of the graph is a window of 50 words; edges that follow each other share 49 of them. Edges are kept in buckets
+by anchor, as runs of consecutive windows (`anchors`), so equal edges always meet in one bucket. A run whose class also
+occurs under a smaller document id repeats as a whole. What is left open is compacted: where an edge has one successor
+everywhere it occurs, and that one has no other predecessor, both belong to one path; the end of a run counts as a
+successor of its own. A path so occurs as a whole or not at all. Paths are joined with their smallest source id, and
+the coordinates of their occurrences say which words go.
 """
 
 from __future__ import annotations
@@ -16,56 +16,100 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricemill.llm.anchors import by_document, settle, word_bounds, word_symbols
-from pricemill.llm.common import bytes_of, keyed, runs, unkeyed
+from pricemill.llm.common import keyed, packed, partitions, runs, unkeyed, unpacked
 from pricemill.sources.tables import stored
 
 SIZE, GRAM = 50, 14
 
-_EDGES = pa.schema([(c, pa.int64()) for c in ("key", "cls", "id", "tag", "at", "edge", "start", "end")] + [("off", pa.int32()), ("last", pa.bool_())])
-EDGES = "key long, cls long, id long, tag long, at long, edge long, start long, end long, off int, last boolean"
+#: Open runs in a bucket from which its edges are joined one by one instead, so that no task holds the bucket.
+CROWD = 20_000
+#: Edges that are compacted together, as whole buckets.
+BLOCK = 1 << 18
+_START, _END = np.uint64(0), np.uint64(1)
+
+_RUNS = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64()), ("edges", pa.binary()), ("hot", pa.bool_())])
+RUNS = "key long, id long, tag long, at long, edges binary, hot boolean"
+PATHS = "path long, id long, tag long, at long, n int"
 
 
 def _expand(size: int):
+    """The edges of open runs, as hashes of their words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = xxhash.xxh3_64_intdigest
-        signed = lambda x: x - (1 << 64) if x >> 63 else x
         for b in batches:
-            for id_, tag, text, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), bytes_of(b.column(2)), b.column(3).to_pylist()):
+            rows = []
+            for id_, tag, text, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), unpacked(b.column(2)), b.column(3).to_pylist()):
                 view = memoryview(word_symbols(text)[1])
-                rows = []
                 for p in parts:
-                    for off in range(p["n"]):
-                        s = 8 * (p["at"] + off)
-                        e = s + 8 * size
-                        rows.append((p["key"], p["cls"], id_, tag, p["at"], signed(h(view[s:e])), signed(h(view[s : e - 8], 1)), signed(h(view[s + 8 : e], 1)), off, off + 1 == p["n"]))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _EDGES)], schema=_EDGES)
+                    begin = range(8 * p["at"], 8 * (p["at"] + p["n"]), 8)
+                    edges = np.array([h(view[s : s + 8 * size]) for s in begin], "<u8")
+                    rows.append((p["key"], id_, tag, p["at"], edges.tobytes(), p["hot"]))
+            for i in range(0, len(rows), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + 10_000]), _RUNS)], schema=_RUNS)
 
     return run
 
 
-def paths(edges: DataFrame) -> DataFrame:
-    """(key, path, id, tag, at, n): maximal runs of edges without a branching node inside, at each of their places."""
-    none = F.lit(-1).cast("long")
-    run = ["key", "cls", "id", "tag", "at"]
-    leaving = edges.select("key", F.col("start").alias("node"), F.col("edge").alias("e"))
-    reaching = edges.select("key", F.col("end").alias("node"), F.col("edge").alias("e"))
-    stops = edges.where("last").select("key", F.col("end").alias("node"), none.alias("e"))
-    begins = edges.where("off = 0").select("key", F.col("start").alias("node"), none.alias("e"))
-
-    def branching(of: DataFrame) -> DataFrame:
-        return of.groupBy("key", "node").agg(F.min("e").alias("a"), F.max("e").alias("b")).where("a <> b").select("key", "node")
-
-    nodes = branching(leaving.union(stops)).union(branching(reaching.union(begins))).distinct().withColumn("branch", F.lit(True))
-    marked = edges.join(nodes.withColumnRenamed("node", "start"), ["key", "start"], "left")
-    order = Window.partitionBy(*run).orderBy("off")  # a run's windows: at most as many as a window has grams
-    numbered = marked.withColumn("k", F.sum(F.when(F.col("branch") | (F.col("off") == 0), 1).otherwise(0)).over(order))
-    compact = numbered.groupBy(*run, "k").agg(F.min("off").alias("first"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("off", "edge"))).alias("e"))
-    return compact.select("key", F.xxhash64(F.col("e.edge")).alias("path"), "id", "tag", (F.col("at") + F.col("first")).alias("at"), F.col("n").cast("int").alias("n"))
+def paths(runs_: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(run, first edge in it, number of edges, path) of each place of the nonbranching paths that occur twice or more
+    in some runs of edges, which hold whole buckets."""
+    edges = np.concatenate(runs_)
+    sizes = np.array([len(r) for r in runs_])
+    first = np.zeros(len(edges), bool)
+    first[np.cumsum(sizes) - sizes] = True
+    before = np.where(first, _START, np.concatenate([[_START], edges[:-1]]))
+    after = np.where(np.concatenate([first[1:], [True]]), _END, np.concatenate([edges[1:], [_END]]))
+    order = np.argsort(edges, kind="stable")
+    same = edges[order]
+    heads = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
+    of = np.empty(len(edges), np.int64)
+    of[order] = np.repeat(np.arange(len(heads)), np.diff(np.concatenate([heads, [len(edges)]])))
+    one_before, one_after = (np.minimum.reduceat(x[order], heads) == np.maximum.reduceat(x[order], heads) for x in (before, after))
+    times = np.diff(np.concatenate([heads, [len(edges)]]))
+    linked = np.concatenate([[False], one_after[of[:-1]] & one_before[of[1:]]]) & ~first
+    start = np.flatnonzero(~linked)
+    n = np.diff(np.concatenate([start, [len(edges)]]))
+    often = times[of[start]] > 1
+    start, n = start[often], n[often]
+    owner = np.repeat(np.arange(len(runs_)), sizes)[start]
+    data = memoryview(edges.tobytes())
+    path = np.array([xxhash.xxh3_64_intdigest(data[8 * s : 8 * (s + k)]) for s, k in zip(start.tolist(), n.tolist())], np.uint64)
+    return owner, start - (np.cumsum(sizes) - sizes)[owner], n, path
+
+
+def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths of whole buckets; the runs come sorted by key."""
+
+    def rows_of(held: list[tuple]) -> pa.RecordBatch:
+        owner, off, n, path = paths([np.frombuffer(r[4], "<u8") for r in held])
+        id_, tag, at = (np.array([r[c] for r in held], np.int64) for c in (1, 2, 3))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (path.view(np.int64), id_[owner], tag[owner], at[owner] + off, n.astype(np.int32))], ["path", "id", "tag", "at", "n"])
+
+    held: list[tuple] = []
+    volume = 0
+    for b in batches:
+        for row in zip(*[b.column(c).to_pylist() for c in range(5)]):
+            if volume >= BLOCK and row[0] != held[-1][0]:
+                yield rows_of(held)
+                held, volume = [], 0
+            held.append(row)
+            volume += len(row[4]) // 8
+    if held:
+        yield rows_of(held)
+
+
+def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each edge as a path of its own."""
+    for b in batches:
+        for id_, tag, at, edges in zip(*[b.column(c).to_pylist() for c in range(1, 5)]):
+            e = np.frombuffer(edges, "<i8")
+            m = len(e)
+            yield pa.RecordBatch.from_arrays([pa.array(e), pa.array(np.full(m, id_, np.int64)), pa.array(np.full(m, tag, np.int64)), pa.array(at + np.arange(m)), pa.array(np.ones(m, np.int32))], ["path", "id", "tag", "at", "n"])
 
 
 def repeats(docs: DataFrame, size: int, gram: int) -> DataFrame:
@@ -73,11 +117,16 @@ def repeats(docs: DataFrame, size: int, gram: int) -> DataFrame:
     spark = docs.sparkSession
     found = stored(spark, runs=settle(docs, word_symbols, size, gram, by_id=True))["runs"]
     sure = found.where("not open").select("id", "tag", "at", "n")
-    undecided = by_document(found.where("open").drop("open"), "key", "cls", "at", "n")
-    edges = stored(spark, edges=docs.join(undecided, ["id", "tag"]).select("id", "tag", "text", "parts").mapInArrow(_expand(size), EDGES))["edges"]
-    occurrences = paths(edges)
-    sources = occurrences.groupBy("key", "path").agg(F.min("id").alias("source"), F.count("*").alias("times")).where("times > 1")
-    late = occurrences.join(sources, ["key", "path"]).where("source < id").select("id", "tag", "at", "n")
+    open_ = found.where("open")
+    crowded = open_.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > CROWD).select("key", F.lit(True).alias("crowd"))
+    told = open_.join(crowded, "key", "left").withColumn("hot", F.coalesce("crowd", F.lit(False)))
+    undecided = by_document(told, "key", "at", "n", "hot")
+    wanted = packed(docs).join(undecided, ["id", "tag"]).select("id", "tag", "text", "parts")
+    runs_ = stored(spark, edges=wanted.mapInArrow(_expand(size), RUNS))["edges"]
+    dealt = runs_.where("not hot").repartition(partitions(spark), "key").sortWithinPartitions("key")
+    occurrences = dealt.mapInArrow(_compact, PATHS).union(runs_.where("hot").mapInArrow(_single, PATHS))
+    sources = occurrences.groupBy("path").agg(F.min("id").alias("source"))
+    late = occurrences.join(sources, "path").where("source < id").select("id", "tag", "at", "n")
     return sure.union(late)
 
 
@@ -89,7 +138,7 @@ def _cut(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = []
-            for id_, text, at, n in zip(b.column(0).to_pylist(), bytes_of(b.column(1)), b.column(2), b.column(3)):
+            for id_, text, at, n in zip(b.column(0).to_pylist(), unpacked(b.column(1)), b.column(2), b.column(3)):
                 begin, end = word_bounds(text)
                 s = np.array(at.as_py() or [], np.int64)
                 s, e = runs(s, s + np.array(n.as_py() or [], np.int64) + size - 1)
@@ -113,7 +162,7 @@ def repeated_words(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_col:
     """
     texts = keyed(docs, id_col, text_col)
     found = repeats(texts.dropDuplicates(["id", "tag"]) if _repeated(texts) else texts, size, gram).groupBy("id", "tag").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
-    return texts.join(found, ["id", "tag"], "left").select(unkeyed().alias("doc_id"), "text", "at", "n").mapInArrow(_cut(size), KEPT)
+    return packed(texts).join(found, ["id", "tag"], "left").select(unkeyed().alias("doc_id"), "text", "at", "n").mapInArrow(_cut(size), KEPT)
 
 
 def _repeated(texts: DataFrame) -> bool:
