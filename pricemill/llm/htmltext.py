@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemill.llm.common import bytes_of, stored
+from pricemill.llm.common import bytes_of, partitions, stored
 
 #: Pages of a host that are ordered together; a larger host is split by a hash of the path.
 HOST_PAGES = 2000
@@ -231,7 +231,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def neighbours(outlines: DataFrame) -> DataFrame:
     """(key, near): for each page, the lines of the page of its host whose path shares the longest prefix."""
     sizes = outlines.groupBy("host").agg(F.ceil(F.count("*") / HOST_PAGES).alias("parts"))
-    dealt = outlines.select("key", "host", "path").join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("path"), F.col("parts")))
+    light = outlines.select("key", "host", "path").join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("path"), F.col("parts")))
+    # An exchange of its own, so that the join before it can be split and a large host's parts go to several tasks.
+    dealt = light.repartition(partitions(outlines.sparkSession), "host", "part")
     order = Window.partitionBy("host", "part").orderBy("path", "key")
 
     def prefix(other: str):
