@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pricemill.llm.common import bytes_of, partitions
 
 #: Bytes of text in a block.
-BLOCK = 6 << 20
+BLOCK = 12 << 20
 #: Distinct words a shard keeps before it forgets them.
 MEMORY = 1_000_000
 #: Code points that the fast pattern covers; longer scripts go through the full one.
