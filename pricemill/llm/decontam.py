@@ -10,7 +10,6 @@ that are as long as the shortest window go through the automaton; numpy finds th
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -131,7 +130,6 @@ class Automaton:
         return s, e, names
 
 
-_HITS = "row binary, doc_id long, n_words long, starts array<long>, ends array<long>, items array<string>"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
 HITS = "doc_id long, n_words long, starts array<long>, ends array<long>, items array<string>"
 
@@ -187,7 +185,6 @@ def digest(found: DataFrame) -> DataFrame:
 def _clean(automata_: list[Automaton], text_at: int):
     def dirty(text: bytes) -> bool:
         words = words_of(text)
-        n = 0
         s, e = runs(*(np.concatenate(x) for x in zip(*[a.scan(words)[:2] for a in automata_]))) if automata_ else (np.zeros(0, int),) * 2
         n = int((e - s).sum())
         return n > 0 and SHARE * n >= len(words)
@@ -202,7 +199,3 @@ def _clean(automata_: list[Automaton], text_at: int):
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that are not contaminated, all columns."""
     return docs.mapInArrow(_clean(automata(benchmark), docs.columns.index(text_col)), docs.schema)
-
-
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
