@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricemill.llm.common import bytes_of, components, stored
+from pricemill.llm.common import bytes_of, components, partitions, stored
 
 BITS, HALF, SEED, SHINGLE = 64, 32, 42, 3
 #: Largest bucket that is compared pair by pair.
@@ -59,7 +59,9 @@ def variants(fps: DataFrame) -> DataFrame:
     """(key, fp): 64 keys each, the number of the bit left out above the half without that bit."""
     half = lambda i: F.col("fp") if i < HALF else F.shiftrightunsigned("fp", HALF)
     keys = [half(i).bitwiseAND(F.lit(0xFFFFFFFF & ~(1 << i % HALF))).bitwiseOR(F.lit(i << HALF)) for i in range(BITS)]
-    return fps.select(F.explode(F.array(*keys)).alias("key"), "fp")
+    # Stored fingerprints lie in few large partitions; 64 times the rows come out.
+    dealt = fps.repartition(partitions(fps.sparkSession), "fp")
+    return dealt.select(F.explode(F.array(*keys)).alias("key"), "fp")
 
 
 def _differ(a: str, b: str):
@@ -111,7 +113,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(nodes.select("fp")))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
+    # Stored, so that both sides of the join are plain exchanges and a fingerprint with many copies can be split.
+    by_fp = stored(rooted.select("fp", "root").join(named, "root").select("fp", "component_id"))
     return marked.join(by_fp, "fp").select("id", "fp", "component_id")
 
 
