@@ -83,10 +83,10 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool]], bool]:
     found = False
 
     def flush() -> None:
-        if held:
+        if held and not out:  # text before an inline advert waits for what follows it
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             held.clear()
-            if text and not out:
+            if text:
                 lines.append((text, articles > 0))
 
     at = 0
@@ -99,7 +99,8 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool]], bool]:
             continue
         tag = tag.lower()
         if tag == "br" or tag == "wbr":
-            held.append(" " if tag == "br" else "")
+            if tag == "br" and not out:
+                held.append(" ")
             continue
         if tag not in _INLINE:
             flush()
@@ -121,8 +122,6 @@ def lines_of(page: str) -> tuple[list[tuple[str, bool]], bool]:
             if tag == "body":
                 continue
             site = _is_site(tag, attrs, articles > 0)
-            if site and tag in _INLINE:
-                flush()
             article = tag in ("article", "main") and not site
             if article and not out:
                 found = True
@@ -230,7 +229,8 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def neighbours(outlines: DataFrame) -> DataFrame:
     """(key, near): for each page, the lines of the page of its host whose path shares the longest prefix."""
-    sizes = outlines.groupBy("host").agg(F.ceil(F.count("*") / HOST_PAGES).alias("parts"))
+    # Stored, so that both sides of the join are plain exchanges and a large host can be split.
+    sizes = stored(outlines.groupBy("host").agg(F.ceil(F.count("*") / HOST_PAGES).alias("parts")))
     light = outlines.select("key", "host", "path").join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("path"), F.col("parts")))
     # An exchange of its own, so that the join before it can be split and a large host's parts go to several tasks.
     dealt = light.repartition(partitions(outlines.sparkSession), "host", "part")

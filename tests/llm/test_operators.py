@@ -385,7 +385,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script
 
 
 def test_html_article():
-    page = PAGE.format(body="<article><header><h1>Tom &amp; Jerry&#39;s</h1></header><p>One <b>two</b><br>three\n  four<p>five &lt;p&gt;<aside>related</aside><form>x</form><section class='comments'><p>first!</p></section><p>six</article>")
+    page = PAGE.format(body="<article><header><h1>Tom &amp; Jerry&#39;s</h1></header><p>One <b>two</b><br>three <span class=ad><div>buy</div></span>\n  four<p>five &lt;p&gt;<aside>related</aside><form>x</form><section class='comments'><p>first!</p></section><p>six</article>")
     lines, found = htmltext.lines_of(page)
     assert found and [t for t, inside in lines if inside] == ["Tom & Jerry's", "One two three four", "five <p>", "six"]
 
