@@ -119,13 +119,15 @@ def repeats(docs: DataFrame, size: int, gram: int) -> DataFrame:
     sure = found.where("not open").select("id", "tag", "at", "n")
     open_ = found.where("open")
     crowded = open_.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > CROWD).select("key", F.lit(True).alias("crowd"))
+    # Stored sides keep the joins splittable where a key or a path has many places.
+    crowded = stored(spark, crowded=crowded)["crowded"]
     told = open_.join(crowded, "key", "left").withColumn("hot", F.coalesce("crowd", F.lit(False)))
     undecided = by_document(told, "key", "at", "n", "hot")
     wanted = packed(docs).join(undecided, ["id", "tag"]).select("id", "tag", "text", "parts")
     runs_ = stored(spark, edges=wanted.mapInArrow(_expand(size), RUNS))["edges"]
     dealt = runs_.where("not hot").repartition(partitions(spark), "key").sortWithinPartitions("key")
-    occurrences = dealt.mapInArrow(_compact, PATHS).union(runs_.where("hot").mapInArrow(_single, PATHS))
-    sources = occurrences.groupBy("path").agg(F.min("id").alias("source"))
+    occurrences = stored(spark, paths=dealt.mapInArrow(_compact, PATHS).union(runs_.where("hot").mapInArrow(_single, PATHS)))["paths"]
+    sources = stored(spark, sources=occurrences.groupBy("path").agg(F.min("id").alias("source")))["sources"]
     late = occurrences.join(sources, "path").where("source < id").select("id", "tag", "at", "n")
     return sure.union(late)
 
