@@ -216,6 +216,7 @@ def repeats(docs: DataFrame, size: int, gram: int) -> DataFrame:
     sure = found.where("not open").select("id", "tag", "at", "n")
     open_ = found.where("open")
     crowded = open_.groupBy("key").agg(F.count("*").alias("rows")).where(F.col("rows") > CROWD).select("key", F.lit(True).alias("crowd"))
+    crowded = stored(spark, crowded=crowded)["crowded"]  # so that the join can be split
     told = open_.join(crowded, "key", "left").withColumn("hot", F.coalesce("crowd", F.lit(False)))
     undecided = by_document(told, "key", "at", "n", "hot")
     texts = stored(spark, open=docs.join(undecided, ["id", "tag"]).select("id", "tag", "text", "parts").mapInArrow(_fetch(size), OPEN))["open"]
