@@ -1,7 +1,8 @@
 """Main text of web pages by differencing each page against the page of its host with the nearest URL.
 
-Pages of a host are paired by URL path. The text lines of a pair are aligned by their longest common subsequence, and
-shared lines go: they belong to the site, not to the page. Markup says the rest: what stands in an element that by its
+Pages of a host are paired by URL path, with the nearest that is neither a copy nor a near copy: copies say nothing
+about the site. The text lines of a pair are aligned by their longest common subsequence, and shared lines go: they
+belong to the site, not to the page. Markup says the rest: what stands in an element that by its
 name, class or role is a menu, header, footer, sidebar, notice, advert, form or comment goes in any case, and lines of
 an article element are never taken for the site's, since pages may quote each other. A page without an article element
 keeps what neither markup nor its neighbour gives away.
@@ -13,18 +14,20 @@ import html
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricemill.llm.common import bytes_of, partitions, stored
+from pricemill.llm.common import batched, bytes_of, partitions, stored
 
-#: Pages of a host that are ordered together; a larger host is split by a hash of the path.
-HOST_PAGES = 2000
+#: A page is a near copy of another one if the lines to remove and add are at most this share of the other's lines; at
+#: equal length that is one line replaced in five.
+NEAR = (2, 5)
 #: Bits of alignment table held at once; longer pairs are halved first.
 TABLE_BITS = 1 << 26
 
@@ -214,48 +217,225 @@ def _outline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = []
-        for page, other in zip(bytes_of(b.column(2)), b.column(3).to_pylist()):
+        for page, places in zip(bytes_of(b.column(2)), b.column(3).to_pylist()):
             lines, has_article = lines_of(page.decode())
-            site = set()
-            if other is not None:
-                own = np.frombuffer(_hashes(lines), "<u8").tolist()
-                near = np.frombuffer(other, "<u8").tolist()
-                if own != near:  # a copy of the page says nothing about the site
-                    site = set(shared(own, near))
+            site = set(np.frombuffer(places or b"", "<i4").tolist())
             keep = [t for i, (t, inside) in enumerate(lines) if (inside if has_article else i not in site)]
             texts.append("\n".join(keep))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
-def neighbours(outlines: DataFrame) -> DataFrame:
-    """(key, near): for each page, the lines of the page of its host whose path shares the longest prefix."""
-    # Stored, so that both sides of the join are plain exchanges and a large host can be split.
-    sizes = stored(outlines.groupBy("host").agg(F.ceil(F.count("*") / HOST_PAGES).alias("parts")))
-    light = outlines.select("key", "host", "path").join(sizes, "host").withColumn("part", F.pmod(F.xxhash64("path"), F.col("parts")))
-    # An exchange of its own, so that the join before it can be split and a large host's parts go to several tasks.
-    dealt = light.repartition(partitions(outlines.sparkSession), "host", "part")
-    order = Window.partitionBy("host", "part").orderBy("path", "key")
+class _Page:
+    """A page in the order of its host."""
 
-    def prefix(other: str):
-        same = F.zip_with(F.split("path", ""), F.split(other, ""), lambda x, y: x.eqNullSafe(y))
-        place = F.array_position(same, False)
-        return F.when(F.col(other).isNull(), -1).when(place == 0, F.length("path") + 1).otherwise(place)
+    __slots__ = ("key", "path", "raw", "lines", "distinct", "limit")
 
-    sides = dealt.select("key", "path", *[f("key").over(order).alias(f"{n}_key") for n, f in (("a", F.lag), ("b", F.lead))], *[f("path").over(order).alias(f"{n}_path") for n, f in (("a", F.lag), ("b", F.lead))])
-    chosen = sides.select("key", F.when(prefix("b_path") > prefix("a_path"), F.col("b_key")).otherwise(F.coalesce("a_key", "b_key")).alias("other")).where("other is not null")
-    return chosen.join(outlines.select(F.col("key").alias("other"), F.col("lines").alias("near")), "other").select("key", "near")
+    def __init__(self, key: int, path: str, raw: bytes):
+        self.key, self.path, self.raw = key, path, raw
+        self.lines = np.frombuffer(raw, "<u8").tolist()
+        self.distinct = frozenset(self.lines)
+        self.limit = NEAR[0] * len(self.lines) // NEAR[1]
+
+    def apart(self, other: _Page, most: int) -> int:
+        """Lines to remove and add; if there are more than `most`, some number above it that is not too large."""
+        if self.raw == other.raw:
+            return 0
+        size = len(self.lines) + len(other.lines)
+        least = size - 2 * min(sum(map(other.distinct.__contains__, self.lines)), sum(map(self.distinct.__contains__, other.lines)))
+        return least if least > most else size - 2 * len(shared(self.lines, other.lines))
+
+    def copied_by(self, other: _Page) -> bool:
+        return self.apart(other, self.limit) <= self.limit
+
+
+def unlike(pages: list[_Page]) -> list[int]:
+    """For each page, the place of the last page before it that is neither its copy nor its near copy; -1 without one.
+
+    Pages that follow each other and are close to the first of them make a group. Distances obey the triangle
+    inequality, so a page steps over a whole group, or stops at it, by its distance from the group's first page.
+    """
+    out = []
+    groups: list[list[int]] = []  # first and last place, greatest distance from the first
+    for i, p in enumerate(pages):
+        found = -1
+        for first, last, radius in reversed(groups):
+            d = p.apart(pages[first], p.limit + radius)
+            if d + radius > p.limit:
+                found = next((j for j in range(last, first - 1, -1) if d - radius > p.limit or not p.copied_by(pages[j])), -1)
+            if found >= 0:
+                break
+        out.append(found)
+        if groups:
+            first, _, radius = groups[-1]
+            close = pages[first].limit // 4
+            d = p.apart(pages[first], close)
+            if d <= close:
+                groups[-1] = [first, i, max(radius, d)]
+                continue
+        groups.append([i, i, 0])
+    return out
+
+
+def _border(pages: list[_Page]) -> tuple[list[_Page], bool]:
+    """The pages among which a page beyond the first of them finds its partner; whether it always finds one.
+
+    Of copies the first is enough. No page is a near copy of two pages that are further apart than its own limits for
+    both, so nothing behind the first such pair is looked at.
+    """
+    out, seen = [], set()
+    for p in pages:
+        if p.raw not in seen:
+            seen.add(p.raw)
+            out.append(p)
+            # A near copy of the first page has at most n / (1 - NEAR) lines, and twice NEAR of them is its reach.
+            most = 2 * NEAR[0] * len(pages[0].lines) // (NEAR[1] - NEAR[0])
+            if pages[0].apart(p, most) > most:
+                return out, True
+    return out, False
+
+
+def _same(a: str, b: str) -> int:
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def _site(p: _Page, before: _Page | None, after: _Page | None) -> bytes | None:
+    """Places of the lines that p shares with the nearer one; ties go to the one before."""
+    if before and after:
+        near = after if _same(p.path, after.path) > _same(p.path, before.path) else before
+    else:
+        near = before or after
+    return np.array(shared(p.lines, near.lines), "<i4").tobytes() if near else None
+
+
+_PAIR = "kind int, range int, side int, place int, host string, closed boolean, key long, path string, lines binary, site binary, a_path string, a_lines binary, b_path string, b_lines binary"
+_PAIR_SCHEMA = pa.schema(
+    [("kind", pa.int32()), ("range", pa.int32()), ("side", pa.int32()), ("place", pa.int32()), ("host", pa.string()), ("closed", pa.bool_()), ("key", pa.int64()), ("path", pa.string())]
+    + [("lines", pa.binary()), ("site", pa.binary()), ("a_path", pa.string()), ("a_lines", pa.binary()), ("b_path", pa.string()), ("b_lines", pa.binary())]
+)
+#: Rows of the pairing: a page with its site lines, a page at a border, a page whose partner may lie beyond one.
+DONE, BORDER, OPEN = 0, 1, 2
+
+
+def _pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs the pages of one range, and writes down what lies at its borders."""
+
+    def ordered() -> Iterator[tuple]:
+        for b in batches:
+            yield from zip(*(b.column(i).to_pylist() for i in range(5)))
+
+    def hosts() -> Iterator[tuple[int, str, list[_Page]]]:
+        for (number, host), rows in groupby(ordered(), key=lambda r: r[:2]):
+            yield number, host, [_Page(key, path, raw) for _, _, path, key, raw in rows]
+
+    def rows() -> Iterator[tuple]:
+        all_hosts = hosts()
+        at = next(all_hosts, None)
+        is_first = True
+        while at:
+            (number, host, pages), at = at, next(all_hosts, None)
+            is_last = at is None
+            for side, edge, order in ((0, is_last, pages[::-1]), (1, is_first, pages)):
+                if edge:  # seen by pages after the range (side 0) or before it (side 1)
+                    border, closed = _border(order)
+                    for i, p in enumerate(border):
+                        yield (BORDER, number, side, i, host, closed or not (is_first and is_last), p.key, p.path, p.raw, *[None] * 5)
+            before = unlike(pages)
+            after = [len(pages) - 1 - j if j >= 0 else -1 for j in unlike(pages[::-1])[::-1]]
+            for p, i, j in zip(pages, before, after):
+                a, b = (pages[x] if x >= 0 else None for x in (i, j))
+                if not a and is_first or not b and is_last:
+                    yield (OPEN, number, None, None, host, None, p.key, p.path, p.raw, None, *((a.path, a.raw) if a else (None, None)), *((b.path, b.raw) if b else (None, None)))
+                else:
+                    yield (DONE, number, None, None, None, None, p.key, None, None, _site(p, a, b), *[None] * 4)
+            is_first = False
+
+    return batched(rows(), _PAIR_SCHEMA)
+
+
+_REST_SCHEMA = pa.schema([("key", pa.int64()), ("site", pa.binary())])
+
+
+def _beyond(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs open pages with those at the borders of other ranges; a range's border pages come before its open pages."""
+
+    def ordered() -> Iterator[tuple]:
+        for b in batches:
+            yield from zip(*(b.column(i).to_pylist() for i in range(b.num_columns)))
+
+    def rows() -> Iterator[tuple]:
+        for _, of_range in groupby(ordered(), key=lambda r: r[0]):
+            borders: dict[tuple, list[_Page]] = defaultdict(list)
+            seen: set[tuple] = set()
+            known: dict[tuple, _Page | None] = {}
+            for _, kind, side, _, _, host, key, path, raw, a_path, a_raw, b_path, b_raw in of_range:
+                if kind == BORDER:
+                    if (side, host, raw) not in seen:
+                        seen.add((side, host, raw))
+                        borders[side, host].append(_Page(key, path, raw))
+                    continue
+                p = _Page(key, path, raw)
+                sides = []
+                for n, at, lines in ((0, a_path, a_raw), (1, b_path, b_raw)):
+                    if lines is not None:
+                        sides.append(_Page(0, at, lines))
+                        continue
+                    if (n, host, raw) not in known:
+                        known[n, host, raw] = next((q for q in borders[n, host] if not p.copied_by(q)), None)
+                    sides.append(known[n, host, raw])
+                yield key, _site(p, *sides)
+
+    return batched(rows(), _REST_SCHEMA)
+
+
+def _looked_at(edges: list) -> list[tuple[int, int, int, int]]:
+    """(to, range, side, step): whose borders the open pages of a range look at, the nearest range first."""
+    out = []
+    for side, step in ((0, -1), (1, 1)):
+        host = {r.range: r.host for r in edges if r.side != side}  # of a range's own pages on that side
+        border = {r.range: (r.host, r.closed) for r in edges if r.side == side}
+        numbers = sorted(border)
+        for i, to in enumerate(numbers):
+            j = i + step
+            while 0 <= j < len(numbers) and border[numbers[j]][0] == host[to]:
+                out.append((to, numbers[j], side, abs(i - j)))
+                if border[numbers[j]][1]:
+                    break
+                j += step
+    return out
+
+
+def site_lines(outlines: DataFrame) -> DataFrame:
+    """(key, site): for each page, the places of the lines it shares with the page of its host whose path shares the
+    longest prefix and that is neither a copy nor a near copy of it; null where the host has no such page.
+
+    The pages lie in ranges of their order, of whatever host, so the size of a host changes nothing. Pages near an end
+    of a range are paired in a second step with what lies at the borders of the ranges around. One row for each border
+    (its host, and whether it ends the search) reaches the driver: as many as there are tasks.
+    """
+    spark = outlines.sparkSession
+    n = partitions(spark)
+    ranges = outlines.repartitionByRange(n, "host", "path", "key").sortWithinPartitions("host", "path", "key")
+    found = stored(ranges.select(F.spark_partition_id().alias("range"), "host", "path", "key", "lines").mapInArrow(_pair, _PAIR))
+    edges = found.where((F.col("kind") == BORDER) & (F.col("place") == 0)).select("range", "side", "host", "closed").collect()
+    pairs = spark.createDataFrame(_looked_at(edges), "to int, range int, side int, step int")
+    page = ["host", "key", "path", "lines", "a_path", "a_lines", "b_path", "b_lines"]
+    border = found.where(F.col("kind") == BORDER).join(pairs, ["range", "side"]).select("to", "kind", "side", "step", "place", *page)
+    still = found.where(F.col("kind") == OPEN).select(F.col("range").alias("to"), "kind", "side", F.lit(None).cast("int").alias("step"), "place", *page)
+    rest = border.union(still).repartition(n, "to").sortWithinPartitions("to", "kind", "side", "step", "place").mapInArrow(_beyond, "key long, site binary")
+    return found.where(F.col("kind") == DONE).select("key", "site").union(rest)
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for every row.
 
     A null or empty page has an empty text. Pages whose address is null or can't be read share a host without a name.
-    Repeated rows give repeated rows and are one page for the pairing; an empty table gives no rows. Other columns are
-    not looked at.
+    Repeated rows give repeated rows and are one page for the pairing; an empty table gives no rows. On a host whose
+    pages are all copies or near copies, nothing tells site from text, and lines that markup does not name stay. Other
+    columns are not looked at.
     """
     url, page = F.col(url_col).alias("url"), F.col(html_col).alias("html")
     key = F.xxhash64(F.col(id_col), F.col(url_col), F.col(html_col)).alias("key")
     given = pages.select(F.col(id_col).cast("long").alias("page_id"), key, url, page)
     outlines = stored(given.select("key", "url", "html").mapInArrow(_outline, "key long, host string, path string, lines binary").dropDuplicates(["key"]))
-    joined = given.join(neighbours(outlines), "key", "left").select("page_id", "url", "html", "near")
+    joined = given.join(site_lines(outlines), "key", "left").select("page_id", "url", "html", "site")
     return joined.mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

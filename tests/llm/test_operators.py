@@ -403,6 +403,57 @@ def test_html_differencing(spark):
     assert text[10] == "quoted line" and text[11] == "quoted line\nown" and text[20] == "" and text[21] == "" and text[22] == "plain"
 
 
+def html_by_brute_force(pages):
+    """Text of pages without an article, each against all pages of its host."""
+    from os.path import commonprefix
+
+    seen = {}
+    for key, url, lines in pages:
+        seen[key] = (*htmltext.address(url), key, lines)
+    order = sorted(seen.values(), key=lambda r: (r[0], r[1].encode(), r[2]))
+    out = {}
+    for i, (host, path, key, lines) in enumerate(order):
+        far = lambda o: 5 * (len(lines) + len(o) - 2 * len(htmltext.shared(lines, o))) > 2 * len(lines)
+        best = None
+        for step in (-1, 1):
+            j = i + step
+            while 0 <= j < len(order) and order[j][0] == host and not far(order[j][3]):
+                j += step
+            if 0 <= j < len(order) and order[j][0] == host:
+                size = len(commonprefix([path, order[j][1]]))
+                if best is None or size > best[0]:
+                    best = (size, order[j][3])
+        site = set(htmltext.shared(lines, best[1])) if best else set()
+        out[key] = "\n".join(t for k, t in enumerate(lines) if k not in site)
+    return out
+
+
+def html_frame(spark, pages):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(i, u, "".join(f"<p>{t}</p>" for t in lines)) for i, u, lines in pages], "page_id long, url string, html string")
+    keys = {r.page_id: r.k for r in df.select("page_id", F.xxhash64("page_id", "url", "html").alias("k")).collect()}
+    return df, keys
+
+
+def html_check(spark, pages):
+    """Text by address, once it equals brute force."""
+    df, keys = html_frame(spark, pages)
+    want = html_by_brute_force([(keys[i], u, lines) for i, u, lines in pages])
+    got = {r.page_id: r.text for r in htmltext.main_text(df).collect()}
+    assert got == {i: want[keys[i]] for i, _, _ in pages}
+    return {u: got[i] for i, u, _ in pages}
+
+
+def test_html_large_host_with_sections(spark):
+    pages = []
+    for k in range(2600):
+        section = k // 2
+        pages.append((k, f"http://big.example/s{section:04}/{k}", ["Site", f"Menu of {section}", f"Notice of {section}", *[f"own {k} {x}" for x in "abc"]]))
+    text = html_check(spark, pages)
+    assert all(text[u] == f"own {k} a\nown {k} b\nown {k} c" for k, u, _ in pages)
+
+
 def test_longest_common_subsequence(monkeypatch):
     rng = random.Random(1)
 
