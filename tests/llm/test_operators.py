@@ -454,6 +454,28 @@ def test_html_large_host_with_sections(spark):
     assert all(text[u] == f"own {k} a\nown {k} b\nown {k} c" for k, u, _ in pages)
 
 
+def test_html_groups_of_copies(spark):
+    rng = random.Random(8)
+    pages = []
+
+    def add(url, lines):
+        pages.append((len(pages), url, lines))
+
+    for group in range(60):  # copies, near copies and chains of edits, in groups that span ranges
+        text = [f"text {group} {i}" for i in range(10)]
+        for k in range(rng.choice([1, 2, 3, 40])):
+            if rng.random() < 0.5:
+                text[rng.randrange(10)] = f"edit {group} {k}"
+            add(f"http://copies.example/{group:02}?p={k:02}", ["Top", f"Group {group}", *text, "End"])
+    for k in range(600):
+        add(f"http://same.example/{k:04}", [f"line {i}" for i in range(10)] + ["all"])
+    add("http://same.example/zzz", ["all", "other"])
+    for k in range(3):
+        add(f"http://two.example/{k}", [f"line {i}" for i in range(9)] + [f"odd {k}"])
+    text = html_check(spark, pages)
+    assert text["http://same.example/0300"].endswith("line 9") and text["http://two.example/1"].endswith("line 8\nodd 1")
+
+
 def test_longest_common_subsequence(monkeypatch):
     rng = random.Random(1)
 
