@@ -47,7 +47,7 @@ def simhash(text: bytes) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([simhash(t) for t in bytes_of(b.column(1))], pa.int64())], ["id", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([simhash(t) for t in bytes_of(b.column(1))], pa.int64()), *b.columns[2:]], ["id", "fp", *b.schema.names[2:]])
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,6 +101,12 @@ def sizes_over(met: DataFrame, crowd: int) -> bool:
     return met.where(F.col("n") > crowd).limit(1).count() > 0
 
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """nodes, one for each fingerprint fp, with the root of its component."""
+    roots = components(links(nodes.select("fp")))
+    return nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fp, component_id) for every row; component_id is the smallest id whose fingerprint can be reached over links.
 
@@ -110,8 +116,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     marked = stored(fingerprints(docs, id_col, text_col))
     nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = components(links(nodes.select("fp")))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(nodes)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     # Stored, so that both sides of the join are plain exchanges and a fingerprint with many copies can be split.
     by_fp = stored(rooted.select("fp", "root").join(named, "root").select("fp", "component_id"))
@@ -119,6 +124,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents that name their component, all columns; of rows that repeat such an id, one."""
-    kept = near_duplicates(docs).where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__kept")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["__kept"]), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each component, all columns: the one with the smallest id, and among rows that share it the one
+    with the smallest hash of its text. A null id is larger than any other. Of rows that repeat id and text, one."""
+    tag = F.xxhash64(F.col("text").isNull(), F.col("text"))
+    marked = docs.select(F.col("doc_id").cast("long").alias("id"), "text", tag.alias("tag")).mapInArrow(_fingerprints, "id long, fp long, tag long")
+    nodes = stored(marked.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "tag")).alias("least")))
+    first = _rooted(nodes).groupBy("root").agg(F.min("least").alias("least"))
+    kept = first.select(F.col("least.id").alias("__kept"), F.col("least.tag").alias("__kept_tag"))
+    given = docs.withColumn("__tag", tag)
+    same = given["doc_id"].cast("long").eqNullSafe(kept["__kept"]) & (given["__tag"] == kept["__kept_tag"])
+    return given.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__tag"]).drop("__tag")

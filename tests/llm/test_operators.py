@@ -97,6 +97,16 @@ def test_simhash_repeated_rows_and_null_ids(spark):
     assert [(r.doc_id, r.tag) for r in kept] == [(5, 7)]
 
 
+def test_keep_one_keeps_a_row_of_each_component(spark):
+    rng = random.Random(6)
+    t1, t2, t3, t4 = (words(rng, 60) for _ in range(4))
+    rows = [(3, t1), (5, t1), (5, t2), (None, t3), (None, t3), (None, t4), (7, t4), (None, words(rng, 60)), (None, None), (None, "")]
+    kept = simhash.keep_one(frame(spark, [(i, t, "") for i, t in rows])).collect()
+    got = Counter((r.doc_id, r.text or "") for r in kept)
+    assert got == Counter([(3, t1), (5, t2), (None, t3), (7, t4), (None, rows[7][1]), (None, "")])
+    assert all(r.tag == 7 and r.fp == "x" for r in kept)
+
+
 def test_simhash_crowded_buckets_lose_no_link(spark):
     rng = random.Random(2)
     base = rng.getrandbits(63)
