@@ -139,7 +139,7 @@ def _scan(automata: list[Automaton]):
         words = words_of(text)
         parts = [a.scan(words) for a in automata]
         s, e = runs(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, int), np.zeros(0, int))
-        return len(words), s.tolist(), e.tolist(), sorted(set().union(*[p[2] for p in parts]))
+        return len(words), s.tolist(), e.tolist(), sorted(set().union(*[p[2] for p in parts]), key=lambda n: (n is None, n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -151,9 +151,10 @@ def _scan(automata: list[Automaton]):
 def automata(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[Automaton]:
     """Automata of at most AUTOMATON_WORDS words each (or one item); the benchmark, not the corpus, sets their number.
 
-    Items with a null id, a null text or no words have no windows and are left out of results.
+    Items with a null text or no words have no windows and are left out of results. Items with a null id have windows
+    like any other.
     """
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("item is not null and text is not null")
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("text is not null")
     built, held, size = [], [], 0
     for r in items.orderBy("item", "text").toLocalIterator():
         words = words_of(r.text.encode())
@@ -169,13 +170,15 @@ def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     """(doc_id, n_words, starts, ends, items) for every row: disjoint intervals of hit words, and the items found.
 
     A null or empty text has no words. Repeated rows give repeated rows, a null id stays null, an empty benchmark hits
-    nothing and an empty table gives no rows. Other columns are not looked at.
+    nothing and an empty table gives no rows. Items without an id hit like others and are one null, the last, in the
+    items. Other columns are not looked at.
     """
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return given.mapInArrow(_scan(automata(benchmark)), HITS)
 
 
 def digest(found: DataFrame) -> DataFrame:
+    """Numbers and a hash for each row; items without an id count as one in n_items, and have no name to hash."""
     n_hit = F.aggregate(F.arrays_zip("starts", "ends"), F.lit(0).cast("long"), lambda n, x: n + x["ends"] - x["starts"])
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))

@@ -173,6 +173,15 @@ def test_decontamination(spark, rows):
     assert decontam.hits(frame(spark, docs_ := [(1, "a b", "")]), bench.where("false")).first().n_words == len(docs_[0][1].split())
 
 
+def test_decontamination_by_items_without_an_id(spark):
+    bench = spark.createDataFrame([(None, "zz yy"), (None, "qq pp"), (3, "ab cd"), (None, None)], "item_id long, text string")
+    docs = frame(spark, [(1, "Zz yy and qq pp", ""), (2, "ab cd zz yy", ""), (3, "zz and yy", "")])
+    got = {r.doc_id: tuple(r)[1:] for r in decontam.digest(decontam.hits(docs, bench)).collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert got == {1: (5, 4, 1, sha(""), True), 2: (4, 4, 2, sha("3"), True), 3: (3, 0, 0, sha(""), False)}
+    assert [r.doc_id for r in decontam.clean(docs, bench).collect()] == [3]
+
+
 @pytest.mark.parametrize("sizes", [(50, 14), (5, 3), (3, 3)])
 def test_repeated_words(spark, rows, sizes):
     got = {r.doc_id: tuple(r)[1:] for r in debruijn.digest(debruijn.repeated_words(frame(spark, rows), *sizes)).collect()}
