@@ -12,12 +12,15 @@ from pricemill.llm import (
     bpe,
     debruijn,
     decontam,
+    filteraudit,
+    hardneg,
     htmltext,
     langid,
     quality,
     sharding,
     simhash,
     suffixes,
+    templates,
 )
 from pricemill.llm.common import table
 
@@ -66,6 +69,19 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.judge(table(spark, sf_dir, "pages"))
+
+
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings").withColumn("label", label))
+
+
+def op13_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -83,5 +99,8 @@ QUERIES: dict[str, Query] = {
     "op8_topk": op8_topk,
     "op9_shards": op9_shards,
     "op10_html": op10_html,
+    "op11_urls": op11_urls,
+    "op12_negatives": op12_negatives,
+    "op13_audit": op13_audit,
     "pipeline": pipeline,
 }
