@@ -123,7 +123,7 @@ def audit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     Every row of docs is a document; whole texts are read, however long. A null text is empty, a null part the empty
     string. Filter E compares ids: a row without an id fails it never and makes no other fail it, and of rows that
     repeat the smallest id of a text none does. Rows that repeat an id of labels are good or toxic if any of them is;
-    documents without labels are neither. Other columns are not looked at, whatever their names. An empty table gives
+    documents without labels or without an id are neither. Other columns are not looked at, whatever their names. An empty table gives
     no rows.
     """
     counts = survivors(marked(docs, labels, id_col, text_col, part_col))

@@ -244,7 +244,7 @@ def mine(
     `every`) and each of its best rows of the same label, the best rows of other labels whose score is between low and
     high per cent of the positive's.
 
-    Components become floor(256 x), the score is the integer inner product, ties go to the smaller id. Rows without an
+    Components become floor(256 x), the score is the integer inner product (it must fit a long), ties go to the smaller id. Rows without an
     id, label or whole finite vector take no part; shorter vectors count as filled with zeros. No row with the anchor's
     id is its positive or negative; of rows that repeat an anchor's id the one with the smallest label and vector asks.
     Other repeated rows count each on their own. A positive with a negative score has no window. Fewer rows than asked

@@ -29,7 +29,7 @@ def test_all_are_registered():
     import __spark_entry__
 
     assert set(QUERIES) <= set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
 
 
 def test_stages_keep_the_columns_of_documents(spark):
