@@ -34,6 +34,7 @@ TABLE_BITS = 1 << 26
 _ATTRS = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+"""
 _TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)
+    |<(?:svg|math)\b[^>]*/>
     |<(?P<raw>script|style|noscript|template|textarea|select|svg|math|iframe|object|canvas|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)
     |<[!?][^>]*>
     |<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>{_ATTRS})>
