@@ -97,31 +97,24 @@ def word_bounds(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_symbols(text: bytes) -> tuple[np.ndarray, bytes, int]:
+    """A number for each word: its bytes themselves up to eight of them, and the XXH3 hash of longer ones. Mixing tells
+    lengths apart and can be undone, so two words of at most eight bytes and equal length never share a number."""
     begin, end = word_bounds(text)
     if not len(begin):
         return np.zeros(0, np.uint64), b"", 8
-    # Each byte's number times a power of an odd base; a word's sum is freed of its place by the inverse power.
-    values = _SYMBOL[np.frombuffer(text, np.uint8)] * _powers(len(text), False)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(values, dtype=np.uint64)])
-    h = _mixed((sums[end] - sums[begin]) * _powers(len(text), True)[begin] + (end - begin).astype(np.uint64))
+    size = end - begin
+    data = np.frombuffer(text, np.uint8)
+    values = np.zeros(len(begin), np.uint64)
+    for j in range(8):
+        at = np.flatnonzero(size > j) if j else slice(None)
+        values[at] |= data[begin[at] + j].astype(np.uint64) << np.uint64(8 * j)
+    view, h = memoryview(text), xxhash.xxh3_64_intdigest
+    for i in np.flatnonzero(size > 8).tolist():
+        values[i] = h(view[begin[i] : end[i]])
+    h = _mixed(values ^ _mixed(np.minimum(size, 9).astype(np.uint64) * _BASE))
     return h, h.tobytes(), 8
 
 
-_POWERS: dict[bool, np.ndarray] = {}
-
-
-def _powers(n: int, inverse: bool) -> np.ndarray:
-    held = _POWERS.get(inverse)
-    if held is None or len(held) < n:
-        base = pow(int(_BASE), -1, 2**64) if inverse else int(_BASE)
-        held = np.full(max(n, 1 << 16), base, np.uint64)
-        held[0] = 1
-        held = np.multiply.accumulate(held, dtype=np.uint64)
-        if len(held) <= 1 << 22:
-            _POWERS[inverse] = held
-    return held[:n]
-
-
 ROWS = "route long, sure boolean, key long, cls long, id long, tag long, at long, n int"
 _NAMES = ["route", "sure", "key", "cls", "id", "tag", "at", "n"]
 
