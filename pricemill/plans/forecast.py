@@ -3,11 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +12,7 @@ from ..functions.values import percent_change
 from ..operators.scaling import apply_min_max, scale_columns, span, unscaled
 from ..operators.sequences import training_windows, with_minimum_history
 from ..operators.series import filled_both_ways, last_rows, series_window
-from ..session import run_folder
+from ..operators.window_regression import ridge_by_group, ridge_gradient, window_sums
 
 KEY = "commodity"
 PRICE = "price_usd_per_kg"
@@ -149,40 +145,24 @@ def mape(df: DataFrame, actual: str = "actual", predicted: str = "predicted") ->
     return df.groupBy(KEY).agg(F.count(F.lit(1)).alias("rows"), F.avg(error).alias("mape"))
 
 
-# --- Linear model over the whole window, with MLlib ---
+# --- Linear model over the whole window ---
 
 
-def stored_windows(windows: DataFrame) -> DataFrame:
-    """Windows written by commodity, so that each fit reads its own part only."""
-    path = run_folder(windows.sparkSession, "windows")
-    windows.write.partitionBy(KEY).parquet(path)
-    return windows.sparkSession.read.schema(windows.schema).parquet(path)
+def fit_window_models(windows: DataFrame, commodities: Sequence[str] | None = None, reg_param: float = 1e-3) -> DataFrame:
+    """One ridge regression per commodity on the flattened training windows, as a parameter table.
 
-
-def fit_window_models(
-    windows: DataFrame, commodities: Sequence[str] | None = None, reg_param: float = 1e-3
-) -> DataFrame:
-    """One ridge regression per commodity on the flattened windows, as a parameter table.
-
-    Each fit is distributed over the rows of its commodity, and a few fits run side by side. Commodities without
-    training windows get no model. ``windows`` should be stored by commodity, since every fit reads its part.
+    All are fitted from one aggregation over the windows. Commodities without training windows get no model.
     """
-    spark = windows.sparkSession
-    with_rows = windows.filter("is_train").select(KEY).distinct()
-    found = sorted(r[KEY] for r in with_rows.collect())  # one row per commodity
-    chosen = found if commodities is None else [c for c in found if c in set(commodities)]
-
-    @inheritable_thread_target(spark)
-    def fit(commodity: str) -> tuple:
-        training = windows.filter((F.col(KEY) == commodity) & F.col("is_train")).select(
-            array_to_vector(F.flatten("steps")).alias("features"), F.col("target").alias("label")
-        )
-        model = LinearRegression(regParam=reg_param, elasticNetParam=0.0, solver="normal").fit(training)
-        return commodity, float(model.intercept), [float(x) for x in model.coefficients]
+    training = windows.filter("is_train")
+    if commodities is not None:
+        training = training.filter(F.col(KEY).isin(list(commodities)))
+    return ridge_by_group(window_sums(training, [KEY], len(FEATURES)), KEY, reg_param)
+
 
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        rows = list(pool.map(fit, chosen))
-    return spark.createDataFrame(rows, f"{KEY} string, intercept double, weights array<double>")
+def window_fit(windows: DataFrame, models: DataFrame, reg_param: float = 1e-3) -> DataFrame:
+    """How well the parameters minimise the objective: training windows, parameters, largest gradient, mean error."""
+    predicted = window_prediction(F.col("steps"), F.col("weights"), F.col("intercept"))
+    return ridge_gradient(windows.filter("is_train"), models, KEY, predicted, reg_param)
 
 
 def window_prediction(steps: Column, weights: Column, intercept: Column) -> Column:

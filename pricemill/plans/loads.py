@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.reshape import monthly_sheet_to_raw
-from ..sources.tables import TableStore
+from ..schemas import FORECAST as FORECAST_SCHEMA
+from ..sources.readers import read_forecast_csv
+from ..sources.tables import TableStore, bootstrap, create_table, reload_table
 from . import forecast as FC
 
 MONTHLY_RAW = "bronze.wb_prices_raw"
@@ -32,7 +34,8 @@ def train(store: TableStore, commodities: Sequence[str] | None = None, fit_scope
     Without a list, every commodity with windows gets a model; those with too short a history are stored in SKIPPED.
     """
     features = store.read(FEATURES)
-    windows = FC.stored_windows(FC.scaled_windows(features, fit_scope))
+    # Windows are 30 times as large as the features, so each job makes them again from the stored mart.
+    windows = FC.scaled_windows(features, fit_scope)
     keys = windows.select("commodity").distinct()
     store.replace(SKIPPED, features.groupBy("commodity").agg(F.count("*").alias("days")).join(keys, "commodity", "left_anti"))
     models = store.replace(MODELS, FC.fit_window_models(windows, commodities))
@@ -44,3 +47,12 @@ def publish_forecast(store: TableStore) -> bool:
     """Forecast with the stored models and replace the forecast table, unless there is nothing to publish."""
     forecast = FC.window_forecast(store.read(FEATURES), store.read(MODELS), store.read(SCALERS))
     return store.reload(FORECAST, forecast)
+
+
+def reload_forecast_csv(store: TableStore, layer: str, path: str) -> bool:
+    """Load a forecast file into a typed table of the catalog's layer, made if it is absent; a file without rows
+    changes nothing. Tells whether rows were loaded."""
+    bootstrap(store.spark, [layer])
+    table = f"{layer}.forecast_lstm"
+    create_table(store.spark, table, FORECAST_SCHEMA, store.path("gold.forecast_typed"))
+    return reload_table(store.spark, table, read_forecast_csv(store.spark, path))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pricemill import domain
 from pricemill.operators.scaling import apply_min_max, fit_min_max, unscaled
+from pricemill.operators.window_regression import moments, window_sums
 from pricemill.operators.sequences import training_windows, with_minimum_history
 from pricemill.plans import forecast as FC
 
@@ -143,6 +144,48 @@ def test_window_models_match_brute_force(spark, features, series):
     assert error["mape"] == pytest.approx(np.abs((actual - predicted) / actual).mean() * 100)
 
 
+def test_models_of_many_commodities_match_mllib(spark, make):
+    """One aggregation fits all; each gets what a regression of its own would give it."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import LinearRegression
+
+    rng = np.random.default_rng(8)
+    rows = []
+    for c, n in (("rice", 95), ("coffee", 41), ("cocoa", 160), ("short", 40), ("flat", 60)):
+        price = 50 + np.cumsum(rng.normal(0, 1, n)) if c != "flat" else np.full(n, 3.0)
+        rows += [(c, day(i), float(price[i]), float(price[max(i - 1, 0)]), float(price[max(i - 7, 0)]), float(rng.normal()), 1.0) for i in range(n)]
+    windows = FC.scaled_windows(make(rows, FEATURES))
+    models = {r["commodity"]: r for r in FC.fit_window_models(windows).collect()}
+    assert set(models) == {"rice", "coffee", "cocoa", "flat"}
+    assert models["flat"]["weights"] == [0.0] * 150 and models["flat"]["intercept"] == 0.0
+    for c in ("rice", "coffee", "cocoa"):
+        training = windows.filter((F.col("commodity") == c) & F.col("is_train")).select(
+            array_to_vector(F.flatten("steps")).alias("features"), F.col("target").alias("label")
+        )
+        fitted = LinearRegression(regParam=1e-3, elasticNetParam=0.0, solver="normal").fit(training)
+        assert np.array(models[c]["weights"]) == pytest.approx(fitted.coefficients.toArray(), abs=1e-6)
+        assert models[c]["intercept"] == pytest.approx(fitted.intercept, abs=1e-6)
+    found = {r["commodity"]: r for r in FC.window_fit(windows, FC.fit_window_models(windows)).collect()}
+    assert found["rice"]["windows"] == 52 and found["rice"]["cells"] == 150
+    assert all(found[c]["steepest"] < 1e-9 and found[c]["bias"] < 1e-9 for c in ("rice", "coffee", "cocoa"))
+    plan = FC.fit_window_models(windows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(commodity") <= 3 and "partial_sum" in plan
+
+
+def test_window_sums_are_all_cross_products(spark, make):
+    rng = np.random.default_rng(9)
+    table = rng.normal(size=(23, 2))
+    df = make([("a", day(i), float(x), float(y)) for i, (x, y) in enumerate(table)], "commodity string, price_date date, p double, q double")
+    windows = training_windows(df, ["commodity"], ["p", "q"], 6, "p")
+    sums = sorted(window_sums(windows, ["commodity"], 2).collect(), key=lambda r: r["position"])
+    x = np.array([table[i : i + 6].ravel() for i in range(17)])
+    lagged = np.array([r["lagged"] for r in sums]).reshape(6, 2, 2)
+    first, last = (np.array(sums[0][c]) for c in ("first_window", "last_window"))
+    assert moments(lagged, first, last) == pytest.approx(x.T @ x)
+    assert np.concatenate([r["with_target"] for r in sums]) == pytest.approx(x.T @ table[6:, 0])
+    assert sums[0]["windows"] == 17 and sums[0]["target_squares"] == pytest.approx((table[6:, 0] ** 2).sum())
+
+
 def test_stitch_and_insight(make, rows):
     history = make(
         [("a", day(i), float(i + 1)) for i in range(30)], "commodity string, price_date date, price double"
