@@ -77,6 +77,26 @@ def violations(df: DataFrame, check: Check, parents: dict[str, DataFrame] | None
     return duplicate_keys(df, check.columns, ignore_nulls=check.kind == "unique")
 
 
+def row_measures(checks: Sequence[Check]) -> dict[str, Column]:
+    """The row-level checks and the row count as aggregates, for the job that writes the rows."""
+    counts = {c.title: F.count_if(_row_condition(c)) for c in checks if _row_condition(c) is not None}
+    return counts | {ROWS: F.count(F.lit(1))}
+
+
+#: Name of the row count among the measures.
+ROWS = "rows"
+
+
+def run_key_checks(model: str, df: DataFrame, checks: Sequence[Check], parents: dict[str, DataFrame] | None = None) -> DataFrame | None:
+    """One row per check that needs a shuffle: keys that repeat, keys without a parent."""
+    parts = []
+    for check in checks:
+        if _row_condition(check) is None:
+            broken = violations(df, check, parents).agg(F.count(F.lit(1)).alias("violations"))
+            parts.append(broken.select(F.lit(check.title).alias("check"), "violations"))
+    return reduce(DataFrame.unionByName, parts).select(F.lit(model).alias("model"), "check", "violations") if parts else None
+
+
 def run_checks(
     model: str, df: DataFrame, checks: Sequence[Check], parents: dict[str, DataFrame] | None = None
 ) -> DataFrame:
@@ -84,17 +104,14 @@ def run_checks(
 
     All row-level checks of a model share a single pass; only the key checks need a shuffle each.
     """
-    parts = []
     row_checks = [c for c in checks if _row_condition(c) is not None]
-    if row_checks:
-        counts = df.agg(*[F.count_if(_row_condition(c)).alias(f"c{i}") for i, c in enumerate(row_checks)])
-        rows = [
-            F.struct(F.lit(c.title).alias("check"), F.col(f"c{i}").alias("violations"))
-            for i, c in enumerate(row_checks)
-        ]
-        parts.append(counts.select(F.inline(F.array(*rows))))
-    for check in checks:
-        if check not in row_checks:
-            broken = violations(df, check, parents).agg(F.count(F.lit(1)).alias("violations"))
-            parts.append(broken.select(F.lit(check.title).alias("check"), "violations"))
-    return reduce(DataFrame.unionByName, parts).select(F.lit(model).alias("model"), "check", "violations")
+    keyed = run_key_checks(model, df, checks, parents)
+    if not row_checks:
+        return keyed
+    counts = df.agg(*[F.count_if(_row_condition(c)).alias(f"c{i}") for i, c in enumerate(row_checks)])
+    rows = [
+        F.struct(F.lit(model).alias("model"), F.lit(c.title).alias("check"), F.col(f"c{i}").alias("violations"))
+        for i, c in enumerate(row_checks)
+    ]
+    found = counts.select(F.inline(F.array(*rows)))
+    return found if keyed is None else found.unionByName(keyed)

@@ -15,13 +15,16 @@ def with_missing_columns(df: DataFrame, columns: Mapping[str, str]) -> DataFrame
     return df.withColumns(missing) if missing else df
 
 
-def keyed_upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def keyed_upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], in_place: bool = False) -> DataFrame:
     """Existing rows whose key does not come in, plus all incoming rows.
 
     A NULL in a key matches nothing, so such rows stay and accumulate. Columns known to one side only
-    are NULL on the other.
+    are NULL on the other. ``in_place`` keeps rows that are partitioned by the key where they are.
     """
     arriving = incoming.select(*keys).distinct()
+    if in_place:
+        # A broadcast of the keys would leave the stored rows in any partitions.
+        arriving = arriving.hint("merge")
     kept = existing.join(arriving, list(keys), "left_anti").select(*existing.columns)
     return kept.unionByName(incoming, allowMissingColumns=True)
 

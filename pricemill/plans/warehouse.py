@@ -12,8 +12,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import domain
-from ..operators.quality import Check, accepted, not_null, relationship, run_checks, unique, unique_combination
-from ..sources.tables import YEAR, TableStore
+from ..operators.quality import (
+    ROWS,
+    Check,
+    accepted,
+    not_null,
+    relationship,
+    row_measures,
+    run_checks,
+    run_key_checks,
+    unique,
+    unique_combination,
+)
+from ..sources.tables import YEAR, TableStore, qualified_name
 from . import gold, silver
 
 ALL_COMMODITIES = list(domain.COMMODITY_IDS)
@@ -90,6 +101,7 @@ MODELS: dict[str, Model] = {
             not_null("source"),
             accepted("source", [domain.DAILY_SOURCE]),
         ),
+        by_year=True,
     ),
     "dim_region": Model(
         "gold",
@@ -136,6 +148,7 @@ MODELS: dict[str, Model] = {
             accepted("commodity", ALL_COMMODITIES),
             not_null("price_usd_per_kg"),
         ),
+        by_year=True,
     ),
     "gold_monthly_combined": Model(
         "gold",
@@ -187,16 +200,18 @@ def build(
             if read not in tables:
                 tables[read] = store.read(f"{MODELS[read].layer}.{read}")
         built = model.build(store.spark, tables, settings)
-        table = f"{model.layer}.{name}"
+        table = qualified_name(name, model.layer)
         if model.by_year:
             built = built.withColumn(YEAR, F.year("price_date"))
-        tables[name] = store.replace(table, built, [YEAR] if model.by_year else [])
-        if not model.checks:
-            continue
+        # Row checks are counted by the job that writes the rows; only keys need another look at the table.
+        measures = row_measures(model.checks)
+        tables[name], counted = store.replace_measured(table, built, [YEAR] if model.by_year else [], measures)
+        found = [(name, title, n) for title, n in counted.items() if title != ROWS]
+        keyed = run_key_checks(name, tables[name], model.checks, tables)
         # One short row per declared check.
-        found = run_checks(name, tables[name], model.checks, tables).collect()
-        results += [tuple(r) for r in found]
-        broken = [f"{r['check']}: {r['violations']}" for r in found if r["violations"]]
+        found += [tuple(r) for r in keyed.collect()] if keyed is not None else []
+        results += found
+        broken = [f"{check}: {violations}" for _, check, violations in found if violations]
         if broken and stop_on_failure:
             raise ChecksFailed(f"{name}: " + "; ".join(broken))
     return store.spark.createDataFrame(results, "model string, check string, violations long")

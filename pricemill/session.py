@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -44,6 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.pricemill.workDir", None)
     if not root:
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/pricemill-work"
+        if not spark.sparkContext.master.startswith("local[") and re.match("file:|/", root):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all executors share")
         spark.conf.set("spark.pricemill.workDir", root)
     return root.rstrip("/")
 

@@ -85,8 +85,18 @@ def raw_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_YEARS: dict[tuple[str, str], tuple[int, int]] = {}
+
+
 def years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
-    """First and last year of all dated rows."""
+    """First and last year of all dated rows, looked up once per application, since the supplied tables don't change."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _YEARS:
+        _YEARS[key] = _scanned_years(spark, sf_dir)
+    return _YEARS[key]
+
+
+def _scanned_years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
     days = table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("d"))
     days = days.unionAll(table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("d")))
     ends = days.agg(F.year(F.min("d")).alias("first"), F.year(F.max("d")).alias("last")).first()

@@ -3,21 +3,15 @@
 from __future__ import annotations
 
 import csv
+import io
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import domain, schemas
 from ..functions.values import constant_frame
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Parquet scan. A declared schema saves the footer read; without one, columns that later files added
-    are merged in."""
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
-    return reader.parquet(path)
-
-
 def read_mapping(spark: SparkSession, path: str | None = None) -> DataFrame:
     """Commodity names from a CSV file, or the built-in mapping."""
     if path is None:
@@ -27,21 +21,48 @@ def read_mapping(spark: SparkSession, path: str | None = None) -> DataFrame:
     return spark.read.schema(schemas.COMMODITY_MAPPING).option("header", True).csv(path)
 
 
-def read_monthly_sheet(spark: SparkSession, path: str, skip_rows: int = 4) -> DataFrame:
-    """Wide monthly sheet saved as CSV, with the header after ``skip_rows`` lines and blanks around names.
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """(place, record) of the CSV records of a file, numbered from 0: a record goes on to the next line while a
+    quotation mark is open, wherever the file's blocks are cut.
 
-    The first lines are told by their place in the file, so a later line that repeats one of them stays. Only they
-    reach the driver, for the names. All cells stay text: the cleaning step casts them, and reads a row without a
-    period, such as a line of units, as undated.
+    Whether a line begins inside a quoted cell depends on the number of marks before it. Marks are counted per block
+    first, of which there are few; then each block numbers its own lines.
     """
+    marks = F.char_length("value") - F.char_length(F.replace("value", F.lit('"')))
     lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
+        "value",
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+        marks.alias("marks"),
     )
-    head = lines.filter("block = 0").orderBy("line").limit(skip_rows + 1).collect()
-    names = [c.strip() or f"Unnamed: {i}" for i, c in enumerate(next(csv.reader([head[-1].value])))]
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    in_block = Window.partitionBy("block").orderBy("line")
+    # One row per block of the file.
+    blocks = lines.groupBy("block").agg(F.sum("marks").alias("_marks"))
+    opened = blocks.select("block", F.coalesce(F.sum("_marks").over(earlier), F.lit(0)).alias("_marks"))
+    before = F.coalesce(F.sum("marks").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("_marks")
+    begun = lines.join(opened, "block").withColumn("begins", (before % 2 == 0).cast("long"))
+    counts = begun.groupBy("block").agg(F.sum("begins").alias("_begun"))
+    offsets = counts.select("block", F.coalesce(F.sum("_begun").over(earlier), F.lit(0)).alias("_begun"))
+    place = F.sum("begins").over(in_block) + F.col("_begun") - 1
+    placed = begun.join(offsets, "block").select(place.alias("place"), "block", "line", "value")
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))
+    return placed.groupBy("place").agg(F.array_join(F.transform(parts, lambda x: x["value"]), "\n").alias("record"))
+
+
+def read_monthly_sheet(spark: SparkSession, path: str, skip_rows: int = 4) -> DataFrame:
+    """Wide monthly sheet saved as CSV, with the header after ``skip_rows`` rows and blanks around names.
+
+    A cell in quotation marks may hold line breaks. The first rows are told by their place in the file, so a later row
+    that repeats one of them stays. Only the header reaches the driver, for the names. All cells stay text: the
+    cleaning step casts them, and reads a row without a period, such as a row of units, as undated.
+    """
+    records = csv_records(spark, path)
+    head = records.filter(F.col("place") == skip_rows).first()
+    names = [" ".join(c.split()) or f"Unnamed: {i}" for i, c in enumerate(next(csv.reader(io.StringIO(head.record, newline=""))))]
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    body = lines.filter((F.col("block") > 0) | (F.col("line") > head[-1].line)).filter("trim(value) <> ''")
-    return body.select(F.from_csv("value", schema).alias("cells")).select("cells.*").toDF(*names)
+    body = records.filter((F.col("place") > skip_rows) & (F.trim("record") != ""))
+    return body.select(F.from_csv("record", schema, {"multiLine": "true", "escape": '"'}).alias("cells")).select("cells.*").toDF(*names)
 
 
 def read_quotes(spark: SparkSession, landing: str) -> DataFrame:
