@@ -84,9 +84,13 @@ def fact_price_daily(
     No dimension is hinted: Spark broadcasts those whose measured size allows it and splits hot keys of
     the others. All windows share one partitioning and one sort.
     """
+    return priced_series(all_prices(monthly, daily), commodities, dates, regions)
+
+
+def priced_series(prices: DataFrame, commodities: DataFrame, dates: DataFrame, regions: DataFrame) -> DataFrame:
+    """The fact's rows for whole series, or for their ends with as many rows before as the means reach."""
     keyed = (
-        all_prices(monthly, daily)
-        .join(commodities.select("commodity_id", "commodity"), "commodity")
+        prices.join(commodities.select("commodity_id", "commodity"), "commodity")
         .join(dates.select("date_id", F.col("date").alias("price_date")), "price_date")
         .join(regions.select("region_id", "country", "region", "source"), ["country", "region", "source"])
     )
@@ -143,9 +147,15 @@ def daily_across_sources(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
 def gold_ml_features(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Feature mart: one row per day and commodity with lags, long means, volatility and season."""
+    return with_history(daily_across_sources(fact, dates))
+
+
+def with_history(daily: DataFrame) -> DataFrame:
+    """Daily prices of whole commodities, or of their ends with the rows before that windows reach, with the features
+    that look back."""
     w = series_window(["commodity"])
     price = F.col("price_usd_per_kg")
-    return daily_across_sources(fact, dates).select(
+    return daily.select(
         "price_date",
         "commodity",
         "year",
