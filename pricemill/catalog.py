@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import domain
+from . import domain, schemas
 from .functions import columns as C
 from .functions.calendar import calendar_columns
 from .functions.values import lookup
@@ -21,12 +22,12 @@ from .operators.sequences import training_windows, with_minimum_history
 from .operators.upsert import keyed_upsert, replace_day_slice, with_missing_columns
 from .plans import alerts as A
 from .plans import forecast as FC
-from .plans import gold, serving, silver, summary, warehouse
+from .plans import gold, incremental, loads, serving, silver, summary, warehouse
 from .session import run_folder
 from .sources import driver_tables as D
-from .sources.readers import read_mapping, stream_quotes
-from .sources.tables import TableStore, stored
-from .streaming import increments
+from .sources.readers import read_mapping, read_monthly_sheet, stream_quotes
+from .sources.tables import YEAR, TableStore, stored
+from .streaming import increments, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -301,6 +302,18 @@ def commodity_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(joined)
 
 
+@query
+def mapping_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the mapping read from a CSV file, for the names as well as for the dimension."""
+    path = run_folder(spark, "mapping")
+    read_mapping(spark).write.option("header", True).csv(path)
+    mapping = read_mapping(spark, path)
+    observed = silver.observed_daily(D.raw_daily(spark, sf_dir), mapping, D.now(), D.SCOPE)
+    counts = observed.groupBy("commodity").agg(F.count(F.lit(1)).alias("observations"))
+    joined = gold.dim_commodity(mapping).join(counts, "commodity", "left")
+    return doubles(joined.withColumn("observations", F.coalesce("observations", F.lit(0))))
+
+
 @query
 def cross_source_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = ["price_change_pct", "price_7d_avg", "price_30d_avg"]
@@ -314,6 +327,47 @@ def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(D.features(spark, sf_dir)).withColumns({c: rounded(F.col(c)) for c in inexact})
 
 
+def _incremented(spark: SparkSession, sf_dir: str) -> tuple[TableStore, DataFrame]:
+    """The warehouse built without the orders from June 2000 on and without the rice of 1999, which then come as an
+    increment; with the calendar."""
+    day, late_rice = F.col("price_date"), (F.col("commodity") == " Paddy ") & (F.year("price_date") == 1999)
+    second = (day >= "2000-06-01") | F.coalesce(late_rice, F.lit(False))
+    raw = D.raw_daily(spark, sf_dir)
+    mapping, dates = built_in_aliases(), D.calendar(spark, sf_dir)
+    tables = stored(
+        spark,
+        monthly=D.monthly(spark, sf_dir),
+        whole=D.daily(spark, sf_dir),
+        first=silver.clean_daily(raw.filter(~second), mapping, dates, D.now(), D.SCOPE),
+        second=silver.observed_daily(raw.filter(second), mapping, D.now(), D.SCOPE),
+    )
+    store = TableStore(spark, run_folder(spark, "increment"))
+    commodities = gold.dim_commodity(read_mapping(spark))
+    regions = stored(spark, regions=gold.dim_region(tables["monthly"], tables["whole"]))["regions"]
+    daily = store.replace(incremental.SILVER, incremental.by_year(tables["first"]), [YEAR])
+    fact = gold.fact_price_daily(tables["monthly"], daily, commodities, dates, regions)
+    fact = store.replace(incremental.FACT, incremental.by_year(fact), [YEAR])
+    store.replace(incremental.FEATURES, incremental.by_year(gold.gold_ml_features(fact, dates)), [YEAR])
+    incremental.increment(store, tables["second"], commodities, dates, regions)
+    return store, dates
+
+
+@query
+def incremental_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after a load and an increment with late days: equal to the one that is built at once."""
+    store, _ = _incremented(spark, sf_dir)
+    fact = doubles(store.read(incremental.FACT).drop(YEAR))
+    return fact.withColumn("ingested_at", F.date_format("ingested_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def incremental_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature mart after the same increment."""
+    store, _ = _incremented(spark, sf_dir)
+    inexact = ["price_change_pct", "price_7d_avg", "price_30d_avg", "price_30d_volatility"]
+    return doubles(store.read(incremental.FEATURES).drop(YEAR)).withColumns({c: rounded(F.col(c)) for c in inexact})
+
+
 @query
 def monthly_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doubles(gold.gold_monthly_combined(*D.silver_tables(spark, sf_dir)))
@@ -330,13 +384,7 @@ def serving_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def frame_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First day, last day, rows and number of commodities of the serving frame."""
-    frame = D.frame(spark, sf_dir)
-    return frame.groupBy().agg(
-        F.min("price_date").alias("min_date"),
-        F.max("price_date").alias("max_date"),
-        F.count(F.lit(1)).alias("rows"),
-        F.count_distinct("commodity").alias("commodities"),
-    )
+    return serving.date_bounds(D.frame(spark, sf_dir))
 
 
 @query
@@ -403,7 +451,7 @@ def price_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def yearly_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Box summary of the newest year and the ten before it."""
-    return serving.yearly_distribution(D.frame(spark, sf_dir))
+    return serving.yearly_distribution(_stored_frame(spark, sf_dir))
 
 
 @query
@@ -441,6 +489,17 @@ def report_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.toDF("month", "commodity", "price", "change_pct", "avg_7", "avg_30")
 
 
+@query
+def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table exported as CSV and read back."""
+    names = ["month", "commodity", "price", "change_pct", "avg_7", "avg_30"]
+    folder = run_folder(spark, "export")
+    store = TableStore(spark, folder)
+    store.export_csv(serving.report_table(D.frame(spark, sf_dir)), f"{folder}/report")
+    schema = ", ".join(f"{n} {'string' if n in ('month', 'commodity') else 'double'}" for n in names)
+    return spark.read.schema(schema).option("header", True).csv(f"{folder}/report")
+
+
 def _stored_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The serving frame, stored, since each section of the summary reads it."""
     return stored(spark, frame=D.frame(spark, sf_dir))["frame"]
@@ -502,6 +561,52 @@ def stored_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("bronze.prices").select(*columns)
 
 
+@query
+def monthly_sheet_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Highest item price by month and commodity as a wide CSV sheet, with line breaks in quoted cells and in the title,
+    loaded twice into the raw table; with the row count after the second load."""
+    monthly = D.raw_monthly(spark, sf_dir)
+    sheet_names = [h for h in domain.SHEET_KEYWORDS]
+    price = F.round(F.max("value"), 2).cast("decimal(18,2)").cast("string")
+    wide = monthly.groupBy("period").pivot("Item", sheet_names).agg(price)
+    note = F.concat(F.lit('"month ""'), F.col("period"), F.lit('""\n'), F.substring("period", 1, 4), F.lit(',\nend"'))
+    cells = [F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in sheet_names]
+    body = wide.select(F.concat_ws(",", "period", note, *cells).alias("value"), F.col("period").alias("at"))
+    header = ",".join(["", '"Notes\nof the sheet"', *[f'"{n} "' for n in sheet_names]])
+    first = ['"Prices, ""nominal""\nand real"', "monthly", "", "updated", header, ",,($/kg),($/mt),($/kg),($/kg)"]
+    top = spark.createDataFrame([(v, f" {i}") for i, v in enumerate(first)], "value string, at string")
+    path = run_folder(spark, "sheet")
+    # One file: the sheet has a row for each month.
+    top.unionByName(body).coalesce(1).sortWithinPartitions("at").select("value").write.text(path)
+    store = TableStore(spark, run_folder(spark, "sheets"))
+    sheet = read_monthly_sheet(spark, path)
+    counts = [loads.load_monthly_sheet(store, sheet, D.now()) for _ in range(2)]
+    loaded = store.read(loads.MONTHLY_RAW).filter(F.col("price_date") != domain.MISSING_PERIOD)
+    return loaded.select(
+        "price_date",
+        "commodity",
+        F.trim("original_name").alias("original_name"),
+        F.col("price_usd").cast("double").alias("price_usd"),
+        F.lit(counts[0] == counts[1]).alias("repeatable"),
+        F.lit(counts[1]).cast("long").alias("stored_rows"),
+    )
+
+
+@query
+def bucketed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second load merged by commodity, day, region and market into a bucketed table, loaded twice."""
+    region = F.concat(F.lit("R"), (F.col("load_key") % 3).cast("string"))
+    existing, incoming = (load.withColumn("region", region) for load in _halves(spark, sf_dir))
+    store = TableStore(spark, run_folder(spark, "bucketed"))
+    keys = ["commodity", "price_date", "region", "source"]
+    known = incoming.filter("source IS NOT NULL")
+    store.upsert_bucketed("bronze.prices", existing, keys, 16)
+    for _ in range(2):
+        store.upsert_bucketed("bronze.prices", known, keys, 16)
+    columns = ["price_date", "commodity", "region", "source", "price_usd", "load_key", "ticker"]
+    return spark.table(store.view("bronze.prices")).select(*columns)
+
+
 @query
 def previous_close_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest close of each commodity before a day."""
@@ -518,6 +623,19 @@ def threshold_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_view(A.alert_records(A.successive_moves(D.closes(spark, sf_dir)), D.now()))
 
 
+@query
+def appended_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same alerts appended year by year to a table that is made empty first; with the row count after the load."""
+    alerts = stored(spark, alerts=A.alert_records(A.successive_moves(D.closes(spark, sf_dir)), D.now()))["alerts"]
+    store = TableStore(spark, run_folder(spark, "appended"))
+    store.clone_empty("bronze.price_alerts", alerts)
+    first, last = D.years(spark, sf_dir)
+    for year in range(first, last + 1):
+        store.append("bronze.price_alerts", alerts.filter(F.year("alert_date") == year))
+    table = store.read("bronze.price_alerts", schemas.PRICE_ALERTS)
+    return _alert_view(table).withColumn("stored_rows", F.lit(store.count("bronze.price_alerts")).cast("long"))
+
+
 @query
 def single_day_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One day's load against the stored history."""
@@ -595,6 +713,54 @@ def stream_daily_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alert_view(store.read(increments.ALERTS)).drop("price_year")
 
 
+def _keyed_stream(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Closes landed in three waves and loaded by the stream with keyed state.
+
+    The first of a month lands twice. The second and third wave bring the last twenty days before them again: some
+    too late, those of odd days repeated, those of even days corrected.
+    """
+    tickers = {c: t for t, c in domain.TICKERS.items()}
+    closes = stored(spark, closes=D.closes(spark, sf_dir))["closes"]
+    day = F.col("price_date")
+    wave = F.when(day < "1999-01-01", 0).when(day >= "2001-01-01", 2).otherwise(1)
+    base = closes.withColumn("wave", wave).withColumn("close", F.col("price_usd_per_kg"))
+    twice = base.filter(F.dayofmonth(day) == 1)
+    next_wave = F.when(F.col("wave") == 0, F.lit("1999-01-01").cast("date")).when(F.col("wave") == 1, F.lit("2001-01-01").cast("date"))
+    again = base.filter(day >= F.date_sub(next_wave, 20)).withColumns(
+        {"wave": F.col("wave") + 1, "close": F.when(F.dayofmonth(day) % 2 == 0, F.col("close") * 1.05).otherwise(F.col("close"))}
+    )
+    landed = stored(spark, landed=base.unionByName(twice).unionByName(again))["landed"]
+    quotes = landed.select("wave", lookup(F.col("commodity"), tickers).alias("ticker"), "close", day.alias("quoted_on"))
+    folder = run_folder(spark, "keyed")
+    store = TableStore(spark, f"{folder}/tables")
+    for number in range(3):
+        quotes.filter(F.col("wave") == number).drop("wave").write.mode("append").json(f"{folder}/landing")
+        stream = keyed.keyed_quote_stream(stream_quotes(spark, f"{folder}/landing"), store, f"{folder}/state", D.now)
+        stream.awaitTermination()
+    return store
+
+
+@query
+def stream_state_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the keyed stream accepted: the last close of each commodity and day."""
+    prices = keyed.current_prices(_keyed_stream(spark, sf_dir))
+    return prices.select("commodity", "price_date", "price_usd", "price_usd_per_kg", "ticker", F.col("batch").alias("wave"))
+
+
+@query
+def stream_state_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Its alerts, those of corrected closes among them."""
+    return _alert_view(_keyed_stream(spark, sf_dir).read(keyed.ALERTS)).drop("load_id")
+
+
+@query
+def stream_state_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated, late and unusable quotes, with their numbers."""
+    rejects = _keyed_stream(spark, sf_dir).read(keyed.REJECTS)
+    named = rejects.withColumns({c: F.coalesce(c, F.lit("")) for c in ("commodity", "ticker")})
+    return named.groupBy("commodity", "ticker", "quoted_on", "close", "reject_reason").agg(F.sum("quotes").alias("quotes"))
+
+
 # --- Forecast ---
 
 
@@ -636,22 +802,20 @@ def minmax_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def training_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows of thirty rows with the next price as target; first and last element of each."""
+    """Windows of thirty rows with the next price as target, a row for each of their steps."""
     filled = FC.filled_features(_features(spark, sf_dir), ["price_usd_per_kg", "price_lag_1", "price_lag_7"])
     enough = with_minimum_history(filled, ["commodity"], domain.TRAIN_MIN_ROWS_ABOVE + 1)
     windows = training_windows(
         enough, ["commodity"], ["price_usd_per_kg", "price_lag_7"], domain.SEQUENCE_LENGTH, "price_usd_per_kg"
     )
-    first, last = F.element_at("steps", 1), F.element_at("steps", -1)
-    return windows.select(
+    steps = windows.select("commodity", "price_date", "window_no", "target", "is_train", F.posexplode("steps").alias("step", "row"))
+    return steps.select(
         "commodity",
         "price_date",
         "window_no",
-        F.size("steps").cast("long").alias("steps"),
-        F.element_at(first, 1).alias("first_price"),
-        F.element_at(first, 2).alias("first_lag_7"),
-        F.element_at(last, 1).alias("last_price"),
-        F.element_at(last, 2).alias("last_lag_7"),
+        (F.col("step") + 1).cast("long").alias("step"),
+        F.get("row", F.lit(0)).alias("price"),
+        F.get("row", F.lit(1)).alias("lag_7"),
         "target",
         "is_train",
     )
@@ -663,6 +827,20 @@ def ar1_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FC.ar1_forecast(D.closes(spark, sf_dir)).withColumns({c: rounded(F.col(c), 3) for c in prices})
 
 
+@query
+def forecast_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The forecast as CSV, loaded into a typed table; a file without rows, loaded next, changes nothing."""
+    folder = run_folder(spark, "forecast")
+    store = TableStore(spark, folder)
+    forecast = FC.ar1_forecast(D.closes(spark, sf_dir))
+    layer = f"gold_{uuid.uuid4().hex[:12]}"
+    for part, rows in (("full", forecast), ("empty", forecast.limit(0))):
+        store.export_csv(rows, f"{folder}/{part}")
+        loads.reload_forecast_csv(store, layer, f"{folder}/{part}")
+    prices = ["predicted_price", "ci_lower", "ci_upper"]
+    return spark.table(f"{layer}.forecast_lstm").withColumns({c: rounded(F.col(c), 3) for c in prices})
+
+
 @query
 def forecast_mape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FC.ar1_holdout_error(D.closes(spark, sf_dir)).withColumn("mape", rounded(F.col("mape")))
@@ -688,23 +866,72 @@ def forecast_insight(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _windows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Features, stored, and their scaled windows, which are 30 times as large and made again by each job."""
+    features = stored(spark, features=_features(spark, sf_dir))["features"]
+    return features, FC.scaled_windows(features)
+
+
+@query
+def scaler_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted scalers of all rows and of those that training windows see, with the windows of each commodity."""
     features = stored(spark, features=_features(spark, sf_dir))["features"]
-    return features, FC.stored_windows(FC.scaled_windows(features))
+
+    def fitted(scope: str) -> DataFrame:
+        bounds = [F.max(f"{f}_{b}").alias(f"{f}_{b}") for f in domain.MODEL_FEATURES for b in ("min", "range")]
+        windows = FC.scaled_windows(features, scope)
+        counts = [F.count("*").alias("windows"), F.sum(F.col("is_train").cast("long")).alias("train_windows")]
+        return windows.groupBy("commodity").agg(*counts, *bounds).withColumn("fit_scope", F.lit(scope))
+
+    both = fitted("train").unionByName(fitted("all"))
+    return both.withColumns({c: rounded(F.col(c), 3) for c in both.columns if c.endswith(("_min", "_range"))})
+
+
+@query
+def window_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameters of the regressions over whole windows, one row for each weight."""
+    _, windows = _windows(spark, sf_dir)
+    models = FC.fit_window_models(windows)
+    return models.select("commodity", rounded(F.col("intercept"), 6).alias("intercept"), F.posexplode("weights").alias("cell", "weight")).select(
+        "commodity", "intercept", F.col("cell").cast("long").alias("cell"), rounded(F.col("weight"), 6).alias("weight")
+    )
+
+
+@query
+def window_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training windows of each commodity, and the gradient of the ridge objective at the fitted parameters."""
+    _, windows = _windows(spark, sf_dir)
+    models = stored(spark, models=FC.fit_window_models(windows))["models"]
+    found = FC.window_fit(windows, models)
+    return found.withColumns({c: rounded(F.col(c), 6) for c in ("steepest", "bias")})
 
 
 @query
 def mllib_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast of regressions over whole windows."""
+    """Forecast of regressions over whole windows, with the parameters that MLlib's ridge regression has."""
     features, windows = _windows(spark, sf_dir)
     models = FC.fit_window_models(windows)
-    return FC.window_forecast(features, models, FC.window_scaler(windows))
+    forecast = FC.window_forecast(features, models, FC.window_scaler(windows))
+    return forecast.withColumns({c: rounded(F.col(c), 0) for c in ("predicted_price", "ci_lower", "ci_upper")})
 
 
 @query
 def mllib_holdout_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error of the same models on the held-out windows."""
     _, windows = _windows(spark, sf_dir)
-    return FC.window_holdout_error(windows, FC.fit_window_models(windows))
+    return FC.window_holdout_error(windows, FC.fit_window_models(windows)).withColumn("mape", rounded(F.col("mape")))
+
+
+@query
+def published_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored mart, models trained on it, and the forecast they publish, twice; with the stored holdout error."""
+    store = TableStore(spark, run_folder(spark, "published"))
+    store.replace(loads.FEATURES, _features(spark, sf_dir))
+    loads.train(store)
+    for _ in range(2):
+        loads.publish_forecast(store)
+    forecast = store.read(loads.FORECAST).join(store.read(loads.ERRORS).select("commodity", "mape"), "commodity")
+    prices = {c: rounded(F.col(c), 0) for c in ("predicted_price", "ci_lower", "ci_upper")}
+    return forecast.withColumns({**prices, "mape": rounded(F.col("mape"))})
 
 
 # --- Data quality ---

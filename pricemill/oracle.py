@@ -146,6 +146,78 @@ CTES = {
                commodity || ' ' || CASE WHEN pct_change > 0 THEN {quoted(domain.DIRECTION_UP)}
                    ELSE {quoted(domain.DIRECTION_DOWN)} END || ' ' || printf('%.2f%%', abs(pct_change)) AS ai_comment
         FROM changes WHERE abs(pct_change) >= threshold)""",
+    # Model features without gaps: the first rows take the first value that exists.
+    "filled": f"""lagged AS (
+        SELECT commodity, price_date, price, lag(price, 1) OVER c AS lag_1, lag(price, 7) OVER c AS lag_7,
+               {mean("price", FINE, "OVER c30")} AS avg_30, stddev_samp(price) OVER c30 AS vol_30,
+               row_number() OVER c AS row_no, count(*) OVER (PARTITION BY commodity) AS n
+        FROM closes
+        WINDOW c AS (PARTITION BY commodity ORDER BY price_date),
+               c30 AS (PARTITION BY commodity ORDER BY price_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)),
+    filled AS MATERIALIZED (
+        SELECT commodity, price_date, row_no, n, price, """
+    + ", ".join(f"coalesce({c}, first_value({c} IGNORE NULLS) OVER later) AS {c}" for c in ("lag_1", "lag_7", "avg_30", "vol_30"))
+    + """
+        FROM lagged WINDOW later AS (PARTITION BY commodity ORDER BY price_date
+                                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))""",
+    # Ridge regression over scaled windows: standardised columns, normal equations, Gauss-Jordan elimination.
+    "ridge": """bounds_of AS (
+        SELECT commodity, """
+    + ", ".join(f"min({c}) AS {c}_lo, max({c}) AS {c}_hi" for c in ("price", "lag_1", "lag_7", "avg_30", "vol_30"))
+    + """
+        FROM filled WHERE n > 40 AND row_no <= 30 + floor(0.8::DOUBLE * (n - 30)) GROUP BY commodity),
+    prices AS (
+        SELECT commodity, price_lo AS low, CASE WHEN price_hi = price_lo THEN 1 ELSE price_hi - price_lo END AS width FROM bounds_of),
+    scaled AS MATERIALIZED (
+        SELECT commodity, price_date, row_no, n, ["""
+    + ", ".join(f"({c} - {c}_lo) / CASE WHEN {c}_hi = {c}_lo THEN 1 ELSE {c}_hi - {c}_lo END" for c in ("price", "lag_1", "lag_7", "avg_30", "vol_30"))
+    + """] AS cells
+        FROM filled JOIN bounds_of USING (commodity) WHERE n > 40),
+    windows AS MATERIALIZED (
+        SELECT commodity, row_no - 30 AS k, cells[1] AS y, row_no - 30 <= floor(0.8::DOUBLE * (n - 30)) AS is_train,
+               flatten(list(cells) OVER (PARTITION BY commodity ORDER BY row_no ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)) AS x
+        FROM scaled QUALIFY row_no > 30),
+    targets AS MATERIALIZED (
+        SELECT commodity, count(*) AS n, avg(y) AS y_mean, stddev_pop(y) AS y_dev, list((y) ORDER BY k) AS ys
+        FROM windows WHERE is_train GROUP BY commodity),
+    columns_of AS (
+        SELECT commodity, cell, avg(v) AS mean, stddev_pop(v) AS dev, list(v ORDER BY k) AS vs
+        FROM (SELECT commodity, k, unnest(x) AS v, generate_subscripts(x, 1) AS cell FROM windows WHERE is_train)
+        GROUP BY commodity, cell),
+    standard AS MATERIALIZED (
+        SELECT c.*, t.n, t.y_dev, row_number() OVER (PARTITION BY commodity ORDER BY cell) AS i,
+               count(*) OVER (PARTITION BY commodity) AS m, list_transform(vs, lambda v: (v - mean) / dev) AS z,
+               list_transform(ys, lambda v: (v - y_mean) / y_dev) AS ty
+        FROM columns_of c JOIN targets t USING (commodity) WHERE dev > 1e-7),
+    equations AS MATERIALIZED (
+        SELECT a.commodity, a.i, any_value(a.m) AS m,
+               list(list_dot_product(a.z, b.z) / a.n + CASE WHEN a.i = b.i THEN 0.001::DOUBLE / a.y_dev ELSE 0 END ORDER BY b.i)
+                   || [any_value(list_dot_product(a.z, a.ty) / a.n)] AS line
+        FROM standard a JOIN standard b ON a.commodity = b.commodity GROUP BY a.commodity, a.i),
+    solved AS (
+        WITH RECURSIVE eliminated AS (
+            SELECT commodity, i, m, line, 1 AS step FROM equations
+            UNION ALL
+            SELECT r.commodity, r.i, r.m, CASE WHEN r.i = r.step THEN list_transform(r.line, lambda v: v / r.line[r.step])
+                       ELSE list_transform(list_zip(r.line, p.line), lambda v: v[1] - v[2] * (r.line[r.step] / p.line[r.step])) END, r.step + 1
+            FROM eliminated r JOIN eliminated p ON p.commodity = r.commodity AND p.i = r.step WHERE r.step <= r.m)
+        SELECT commodity, i, line[m + 1] AS w FROM eliminated WHERE step = m + 1),
+    weighted AS (
+        SELECT c.commodity, c.cell, c.mean, coalesce(s.w * d.y_dev / c.dev, 0) AS w
+        FROM columns_of c LEFT JOIN standard d ON d.commodity = c.commodity AND d.cell = c.cell
+        LEFT JOIN solved s ON s.commodity = d.commodity AND s.i = d.i),
+    models AS MATERIALIZED (
+        SELECT commodity, any_value(y_mean) - sum(w * mean) AS intercept, list(w ORDER BY cell) AS weights
+        FROM weighted JOIN targets USING (commodity) GROUP BY commodity),
+    walked AS (
+        WITH RECURSIVE walk AS (
+            SELECT commodity, max(price_date) AS last_date, 0 AS step, list(cells ORDER BY row_no) AS rows_seen, [0::DOUBLE] AS path
+            FROM scaled WHERE row_no > n - 30 GROUP BY commodity
+            UNION ALL
+            SELECT commodity, last_date, step + 1, rows_seen[2:] || [[list_dot_product(flatten(rows_seen), weights) + intercept] || rows_seen[30][2:]],
+                   [list_dot_product(flatten(rows_seen), weights) + intercept]
+            FROM walk JOIN models USING (commodity) WHERE step < 6)
+        SELECT * FROM walk)""",
     "ar1": """pairs AS (
         SELECT commodity, price_date, price, lag(price) OVER (PARTITION BY commodity ORDER BY price_date) AS prev
         FROM closes),
@@ -177,6 +249,8 @@ _CHAIN = {
     "closes": ["observed"],
     "alerts": ["closes"],
     "ar1": ["closes"],
+    "filled": ["closes"],
+    "ridge": ["filled"],
 }
 
 
@@ -643,6 +717,26 @@ sql(
 )
 sql("day_slice_replaced", merged_sql(_SLICE, "price_date, commodity, source, price_usd, load_key"))
 sql("stored_upsert", merged_sql(_SLICE, f"price_date, commodity, source, price_usd, load_key, {_TICKER}"))
+sql(
+    "monthly_sheet_load",
+    f"""
+WITH items AS (
+    SELECT strftime(l_shipdate, '%YM%m') AS price_date, {cases("o_orderpriority", D.MONTHLY_NAMES)} AS original_name,
+           {_COMMODITY} AS commodity, l_extendedprice * CASE WHEN o_orderpriority = '1-URGENT' THEN 1000 ELSE 1 END AS price
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+sheet AS (
+    SELECT price_date, commodity, any_value(original_name) AS original_name, round(max(price), 2) AS price_usd
+    FROM items WHERE commodity <> 'rubber' AND price IS NOT NULL GROUP BY price_date, commodity)
+-- The row of units gives a row without a period for each commodity.
+SELECT *, TRUE AS repeatable, (SELECT count(*) + 4 FROM sheet) AS stored_rows FROM sheet""",
+)
+sql(
+    "bucketed_upsert",
+    f"""WITH {_LOADS}, regional AS (SELECT *, 'R' || load_key % 3 AS region FROM loads)
+SELECT price_date, commodity, region, source, price_usd, load_key, {_TICKER} FROM regional a
+WHERE is_second AND source IS NOT NULL OR NOT is_second AND NOT EXISTS (
+    SELECT 1 FROM regional b WHERE b.is_second AND {_SLICE} AND a.region = b.region AND a.source = b.source)""",
+)
 sql(
     "previous_close_lookup",
     """
@@ -651,6 +745,7 @@ WHERE price_date < DATE '2000-06-17' GROUP BY commodity""",
     "closes",
 )
 sql("threshold_alerts", "SELECT * FROM alerts", "alerts")
+sql("appended_alerts", "SELECT *, (SELECT count(*) FROM alerts) AS stored_rows FROM alerts", "alerts")
 sql("single_day_alerts", "SELECT * FROM alerts WHERE alert_date = DATE '2001-03-15'", "alerts")
 sql("alerts_for_late_load", "SELECT * FROM alerts WHERE alert_date >= DATE '1999-03-01'", "alerts")
 sql(
@@ -694,6 +789,47 @@ ORACLES["stream_daily_increment"] = (
     + "\nSELECT * FROM alerts"
 )
 
+_TICKERS = cases("commodity", {c: t for t, c in domain.TICKERS.items()}, "''")
+CTES["keyed"] = f"""base AS (
+    SELECT commodity, price_date AS day, price AS close,
+           CASE WHEN price_date < DATE '1999-01-01' THEN 0 WHEN price_date >= DATE '2001-01-01' THEN 2 ELSE 1 END AS wave FROM closes),
+again AS (
+    SELECT b.commodity, day, CASE WHEN extract(day FROM day) % 2 = 0 THEN close * 1.05::DOUBLE ELSE close END AS close, wave + 1 AS wave,
+           -- The newest day of the commodity in the waves before decides what is late.
+           day < (SELECT max(x.day) FROM base x WHERE x.commodity = b.commodity AND x.wave <= b.wave) - 10 AS late
+    FROM base b WHERE wave = 0 AND day >= DATE '1999-01-01' - 20 OR wave = 1 AND day >= DATE '2001-01-01' - 20),
+accepted AS (
+    SELECT commodity, day, wave, close, {_CONTRACT.replace("price", "close")} AS price
+    FROM (SELECT commodity, day, wave, close FROM base UNION ALL
+          SELECT commodity, day, wave, close FROM again WHERE NOT late AND extract(day FROM day) % 2 = 0)
+    WHERE commodity <> 'rubber')"""
+_MOVES = """moves AS (
+    SELECT a.commodity, a.day AS price_date, a.price AS new_price, b.price AS old_price
+    FROM accepted a JOIN accepted b ON b.commodity = a.commodity AND b.day < a.day AND b.wave <= a.wave
+    QUALIFY row_number() OVER (PARTITION BY a.commodity, a.day, a.wave ORDER BY b.day DESC, b.wave DESC) = 1)"""
+CTES["keyed_alerts"] = _MOVES + ", " + CTES["alerts"][CTES["alerts"].index("changes AS") :]
+_CHAIN |= {"keyed": ["closes"], "keyed_alerts": ["keyed"]}
+sql(
+    "stream_state_prices",
+    f"""
+SELECT commodity, day AS price_date, close AS price_usd, price AS price_usd_per_kg, {_TICKERS} AS ticker, CAST(wave AS BIGINT) AS wave
+FROM accepted QUALIFY row_number() OVER (PARTITION BY commodity, day ORDER BY wave DESC) = 1""",
+    "keyed",
+)
+sql(
+    "stream_state_rejects",
+    f"""
+SELECT CASE WHEN commodity = 'rubber' THEN '' ELSE commodity END AS commodity, {_TICKERS} AS ticker, day AS quoted_on, close, reject_reason,
+       CAST(sum(n) AS BIGINT) AS quotes
+FROM (SELECT commodity, day, close, 1 AS n, CASE WHEN commodity = 'rubber' THEN 'unknown ticker' WHEN late THEN 'late' ELSE 'repeated' END AS reject_reason
+      FROM again WHERE commodity = 'rubber' OR late OR extract(day FROM day) % 2 = 1
+      UNION ALL SELECT commodity, day, close, 1, 'repeated' FROM base WHERE commodity <> 'rubber' AND extract(day FROM day) = 1
+      UNION ALL SELECT commodity, day, close, 1 + CAST(extract(day FROM day) = 1 AS INTEGER), 'unknown ticker' FROM base WHERE commodity = 'rubber')
+GROUP BY ALL""",
+    "keyed",
+)
+sql("stream_state_alerts", "SELECT * FROM alerts", "keyed_alerts")
+
 # --- Forecast ---
 
 sql(
@@ -718,21 +854,55 @@ FROM (SELECT *, min(price) OVER p AS lo, max(price) OVER p AS hi FROM closes WIN
 sql(
     "training_sequences",
     """
-SELECT commodity, price_date, row_no - 30 AS window_no, 30::BIGINT AS steps,
-       lag(price, 30) OVER c AS first_price, lag(lag_7, 30) OVER c AS first_lag_7,
-       lag(price, 1) OVER c AS last_price, lag(lag_7, 1) OVER c AS last_lag_7,
-       price AS target, row_no - 30 <= floor(0.8::DOUBLE * (n - 30)) AS is_train
-FROM (SELECT commodity, price_date, price, count(*) OVER (PARTITION BY commodity) AS n, row_no,
-             -- Missing at the first seven rows, which take the first value that exists.
-             coalesce(lag_7, first_value(lag_7 IGNORE NULLS) OVER (PARTITION BY commodity ORDER BY price_date
-                 ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS lag_7
-      FROM (SELECT *, lag(price, 7) OVER c AS lag_7, row_number() OVER c AS row_no FROM closes
-            WINDOW c AS (PARTITION BY commodity ORDER BY price_date)))
-WHERE n > 40
-WINDOW c AS (PARTITION BY commodity ORDER BY price_date)
-QUALIFY row_no > 30""",
-    "closes",
+SELECT commodity, price_date, window_no, step, price, lag_7, target, is_train
+FROM (SELECT w.commodity, w.price_date, w.row_no - 30 AS window_no, s.row_no - w.row_no + 31 AS step, s.price, s.lag_7,
+             w.price AS target, w.row_no - 30 <= floor(0.8::DOUBLE * (w.n - 30)) AS is_train
+      FROM filled w JOIN filled s ON s.commodity = w.commodity AND s.row_no BETWEEN w.row_no - 30 AND w.row_no - 1
+      WHERE w.n > 40 AND w.row_no > 30)""",
+    "filled",
+)
+sql(
+    "scaler_bounds",
+    "\nUNION ALL\n".join(
+        f"""SELECT '{scope}' AS fit_scope, commodity, CAST(any_value(n) - 30 AS BIGINT) AS windows,
+       CAST(floor(0.8::DOUBLE * (any_value(n) - 30)) AS BIGINT) AS train_windows, """
+        + ", ".join(
+            f"{rounded(f'min({c}) FILTER ({seen})', 3)} AS {name}_min, "
+            + f"{rounded(f'CASE WHEN max({c}) FILTER ({seen}) = min({c}) FILTER ({seen}) THEN 1 ELSE max({c}) FILTER ({seen}) - min({c}) FILTER ({seen}) END', 3)} AS {name}_range"
+            for c, name in zip(("price", "lag_1", "lag_7", "avg_30", "vol_30"), domain.MODEL_FEATURES)
+        )
+        + "\nFROM filled WHERE n > 40 GROUP BY commodity"
+        for scope, seen in (("train", "row_no <= 30 + floor(0.8::DOUBLE * (n - 30))"), ("all", "TRUE"))
+    ),
+    "filled",
 )
+sql(
+    "window_models",
+    f"""
+SELECT commodity, {rounded("intercept", 6)} AS intercept, CAST(cell - 1 AS BIGINT) AS cell, {rounded("weights[cell]", 6)} AS weight
+FROM models, unnest(generate_series(1, 150)) AS c(cell)""",
+    "ridge",
+)
+sql(
+    "window_fit",
+    """
+SELECT commodity, CAST(floor(0.8::DOUBLE * (n - 30)) AS BIGINT) AS windows, 150::BIGINT AS cells, 0::DOUBLE AS steepest, 0::DOUBLE AS bias
+FROM filled WHERE n > 40 GROUP BY commodity, n""",
+    "filled",
+)
+_WINDOW_MAPE = f"""
+SELECT commodity, count(*) AS rows, {rounded("avg(abs(((list_dot_product(x, weights) + intercept) * width + low - (y * width + low)) / (y * width + low) * 100))")} AS mape
+FROM windows JOIN models USING (commodity) JOIN prices USING (commodity)
+WHERE NOT is_train AND y * width + low <> 0 GROUP BY commodity"""
+_WINDOW_FORECAST = f"""
+SELECT CAST(last_date + 30 * CAST(step AS INTEGER) AS DATE) AS forecast_date, commodity, {rounded("p", 0)} AS predicted_price,
+       {rounded("p - p * (0.05::DOUBLE + 0.01::DOUBLE * (step - 1))", 0)} AS ci_lower,
+       {rounded("p + p * (0.05::DOUBLE + 0.01::DOUBLE * (step - 1))", 0)} AS ci_upper
+FROM (SELECT commodity, last_date, step, path[1] * width + low AS p
+      FROM walked JOIN prices USING (commodity) WHERE step > 0)"""
+sql("mllib_holdout_error", _WINDOW_MAPE, "ridge")
+sql("mllib_forecast", _WINDOW_FORECAST, "ridge")
+sql("published_forecast", f"SELECT f.*, e.mape FROM ({_WINDOW_FORECAST}) f JOIN ({_WINDOW_MAPE}) e USING (commodity)", "ridge")
 sql(
     "ar1_forecast",
     f"""
@@ -900,3 +1070,9 @@ FROM (VALUES ('dim_date'), ('dim_commodity'), ('silver_wb_prices'), ('silver_yf_
     "daily",
 )
 sql("warehouse_quality", _quality_sql().replace("AS check_name", 'AS "check"'), "across", "spine")
+ORACLES |= {"incremental_fact": ORACLES["star_fact"], "incremental_features": ORACLES["ml_features"]}
+ORACLES |= {
+    "report_export": ORACLES["report_table"],
+    "forecast_reload": ORACLES["ar1_forecast"],
+    "mapping_from_csv": ORACLES["commodity_dimension"],
+}

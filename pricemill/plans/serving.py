@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import domain
 from ..functions.calendar import month_text
 from ..functions.values import FINE, exact_mean, exact_mean_over, label, percent_change
+from ..operators.quantiles import exact_quantiles
 from ..operators.series import (
     latest_row,
     latest_values,
@@ -63,16 +64,15 @@ def serving_frame(prices: DataFrame, currency: str = "USD") -> DataFrame:
 
 
 def date_bounds(df: DataFrame) -> DataFrame:
-    """First day, last day and row count of a frame."""
+    """First day, last day, row count and number of commodities of a frame."""
     return df.agg(
-        F.min("price_date").alias("min_date"), F.max("price_date").alias("max_date"), F.count(F.lit(1)).alias("rows")
+        F.min("price_date").alias("min_date"),
+        F.max("price_date").alias("max_date"),
+        F.count(F.lit(1)).alias("rows"),
+        F.count_distinct("commodity").alias("commodities"),
     )
 
 
-def members(df: DataFrame) -> DataFrame:
-    return df.select("commodity").distinct().orderBy("commodity")
-
-
 def in_selection(
     df: DataFrame, commodities: Sequence[str], start: date | Column | None = None, end: date | Column | None = None
 ) -> DataFrame:
@@ -138,19 +138,19 @@ def price_ranking(frame: DataFrame) -> DataFrame:
 def yearly_distribution(frame: DataFrame, years_back: int = 10) -> DataFrame:
     """Quartiles, mean and range per commodity and year, for the newest year and the ten before it.
 
-    A group holds one row per day of a year, so exact quartiles keep at most 366 values.
+    Quartiles are exact, whatever the number of rows of a group.
     """
     newest = frame.groupBy("commodity").agg(F.max(F.year("price_date")).alias("_newest"))
-    quartiles = F.percentile("price", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+    dated = frame.withColumn("year", F.year("price_date").cast("long"))
+    quartiles = exact_quantiles(dated, ["commodity", "year"], "price", [0.25, 0.5, 0.75]).withColumnRenamed("quantiles", "_q")
     return (
-        frame.withColumn("year", F.year("price_date").cast("long"))
-        .groupBy("commodity", "year")
+        dated.groupBy("commodity", "year")
         .agg(
-            quartiles.alias("_q"),
             exact_mean(F.col("price"), FINE).alias("mean_price"),
             F.min("price").alias("min_price"),
             F.max("price").alias("max_price"),
         )
+        .join(quartiles, ["commodity", "year"])
         .join(newest, "commodity")
         .filter(F.col("year") >= F.col("_newest") - years_back)
         .select(
