@@ -156,30 +156,50 @@ def blocks_of(rows: DataFrame, blocks: int) -> DataFrame:
 
 
 def batches_of(anchors: DataFrame, centres: np.ndarray) -> DataFrame:
-    """Anchors (id, label, v, marks) in rows of one cluster each; marks are the scores of its positives."""
+    """Anchors (id, label, v, marks) in rows of one cluster each, with the cluster's widest angle; marks are the scores of
+    an anchor's positives."""
 
     def cluster(pdfs):
         for pdf in pdfs:
-            m = fitted_to(matrix(list(pdf["v"])).astype(np.float64), centres.shape[1])
-            yield pdf.assign(cluster=np.argmax(m @ centres.T, axis=1).astype(np.int32))
+            m = matrix(list(pdf["v"])).astype(np.float64)
+            near = np.argmax(fitted_to(m, centres.shape[1]) @ centres.T, axis=1)
+            # Dimensions that no centroid has widen the angle.
+            wide = fitted_to(centres, max(m.shape[1], centres.shape[1]))
+            m = fitted_to(m, wide.shape[1])
+            angle = np.array([angles(m[i : i + 1], wide[c])[1][0] for i, c in enumerate(near)])
+            yield pdf.assign(cluster=near.astype(np.int32), angle=angle.astype(np.float64))
 
     def pack(pdf):
         import pandas as pd
 
         marks = [[int(s) for s in x] for x in pdf["marks"]]
-        return pd.DataFrame([{"cluster": int(pdf["cluster"].iloc[0]), "marks": marks} | _cells(pdf)])
+        return pd.DataFrame([{"cluster": int(pdf["cluster"].iloc[0]), "widest": float(pdf["widest"].iloc[0]), "marks": marks} | _cells(pdf)])
 
-    found = stored(anchors.mapInPandas(cluster, "id long, label long, v array<bigint>, marks array<bigint>, cluster int"))
-    sizes = {r.cluster: r.n for r in found.groupBy("cluster").agg(F.count("*").alias("n")).collect()}  # a row for each centroid
+    found = stored(anchors.mapInPandas(cluster, "id long, label long, v array<bigint>, marks array<bigint>, cluster int, angle double"))
+    # A row for each centroid.
+    clusters = found.groupBy("cluster").agg(F.count("*").alias("n"), F.max("angle").alias("widest")).collect()
     parts: Column = F.lit(1)
-    for c, n in sizes.items():
-        parts = F.when(F.col("cluster") == c, -(-n // BATCH)).otherwise(parts)
-    split = found.withColumn("part", F.pmod(F.xxhash64("id"), parts).cast("int"))
-    return split.groupBy("cluster", "part").applyInPandas(pack, f"cluster int, marks array<array<bigint>>, {_CELLS}")
+    widest: Column = F.lit(0.0)
+    for r in clusters:
+        of = F.col("cluster") == r.cluster
+        parts, widest = F.when(of, -(-r.n // BATCH)).otherwise(parts), F.when(of, r.widest).otherwise(widest)
+    split = found.withColumns({"part": F.pmod(F.xxhash64("id"), parts).cast("int"), "widest": widest})
+    return split.groupBy("cluster", "part").applyInPandas(pack, f"cluster int, widest double, marks array<array<bigint>>, {_CELLS}")
 
 
 def _searcher(centres: np.ndarray, same: bool, k: int, low: int, high: int):
     """Walks of joined rows (batch, block); windows are those below the marks, or all scores for positives."""
+    # The lists of the block at hand, one for each cluster, shared by all its batches.
+    lists: dict = {"block": None}
+
+    def list_of(r: dict, v: np.ndarray, centre: np.ndarray) -> Listed:
+        if lists["block"] != r["block"]:
+            lists.clear()
+            lists["block"] = r["block"]
+        key = r["q_cluster"], v.shape[1]
+        if key not in lists:
+            lists[key] = Listed(v, centre, r["q_widest"])
+        return lists[key]
 
     def found(r: dict) -> Iterator[tuple]:
         q_ids, q_labels, q = _read(r, "q_")
@@ -204,8 +224,7 @@ def _searcher(centres: np.ndarray, same: bool, k: int, low: int, high: int):
                     lows[i, w], highs[i, w] = (-np.inf if a is None else a), (np.inf if b is None else b)
             centre = fitted_to(centres, max(dims, centres.shape[1]))[r["q_cluster"]]
             qf, vf = (fitted_to(m.astype(np.float64), len(centre)) for m in (q, v))
-            _, spread = angles(qf, centre)
-            hits, _ = walk(qf, Listed(vf, centre, float(spread.max(initial=0.0))), vf, allowed, lows, highs, k)
+            hits, _ = walk(qf, list_of(r, vf, centre), vf, allowed, lows, highs, k)
         else:
             hits = plainly(q, v, allowed, windows, k)
         for (i, w), members in hits.items():
@@ -222,10 +241,11 @@ def _searcher(centres: np.ndarray, same: bool, k: int, low: int, high: int):
 
 def _searched(batches: DataFrame, index: DataFrame, blocks: int, run, k: int) -> DataFrame:
     """The k best of all blocks for each anchor and mark, ranked from 1."""
-    columns = [F.col(c).alias(f"q_{c}") for c in ("cluster", "marks", "ids", "labels", "dims", "cells")]
+    columns = [F.col(c).alias(f"q_{c}") for c in ("cluster", "widest", "marks", "ids", "labels", "dims", "cells")]
     everywhere = batches.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), *columns)
     order = Window.partitionBy("anchor_id", "mark").orderBy(F.desc("score"), "other_id")
-    found = everywhere.join(index, "block").mapInArrow(run, _OUT)
+    # A merge join brings the batches of a block one after the other, so that they share its lists.
+    found = everywhere.join(index.hint("merge"), "block").mapInArrow(run, _OUT)
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
