@@ -11,13 +11,15 @@ that are as long as the shortest window go through the automaton; numpy finds th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricemill.llm.common import batched, bytes_of, runs
+from pricemill.llm.common import NO_ID, batched, bytes_of, keyed, runs, stored, unkeyed
 
 WINDOW = 13
 #: A document is contaminated if at least one word in this many is hit.
@@ -130,65 +132,117 @@ class Automaton:
         return s, e, names
 
 
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
-HITS = "doc_id long, n_words long, starts array<long>, ends array<long>, items array<string>"
+_SCHEMA = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("n_words", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
+_MARKED = "id long, tag long, n_words long, starts array<long>, ends array<long>, items array<string>"
 
 
-def _scan(automata: list[Automaton]):
-    def one(text: bytes):
-        words = words_of(text)
-        parts = [a.scan(words) for a in automata]
-        s, e = runs(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])) if parts else (np.zeros(0, int), np.zeros(0, int))
-        return len(words), s.tolist(), e.tolist(), sorted(set().union(*[p[2] for p in parts]), key=lambda n: (n is None, n))
+def _named(names: set) -> list:
+    return sorted(names, key=lambda n: (n is None, n))
+
+
+def _scan(automaton: Automaton, only_hit: bool):
+    """Hit intervals and items of each text under one automaton."""
+
+    def rows(b: pa.RecordBatch) -> Iterator[tuple]:
+        for id_, tag, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), bytes_of(b.column(2))):
+            words = words_of(text)
+            s, e, names = automaton.scan(words)
+            if len(s) or not only_hit:
+                yield id_, tag, len(words), s.tolist(), e.tolist(), _named(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield from batched(((i, *one(t)) for i, t in zip(b.column(0).to_pylist(), bytes_of(b.column(1)))), _SCHEMA)
+            yield from batched(rows(b), _SCHEMA)
 
     return run
 
 
-def automata(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> list[Automaton]:
-    """Automata of at most AUTOMATON_WORDS words each (or one item); the benchmark, not the corpus, sets their number.
+def automata(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text") -> Iterator[Automaton]:
+    """Automata of at most AUTOMATON_WORDS words each (or one item), one after the other: the driver holds the items of
+    one, and each goes to the tasks of its own job. The benchmark, not the corpus, sets their number.
 
     Items with a null text or no words have no windows and are left out of results. Items with a null id have windows
     like any other.
     """
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where("text is not null")
-    built, held, size = [], [], 0
+    held, size = [], 0
     for r in items.orderBy("item", "text").toLocalIterator():
         words = words_of(r.text.encode())
         if held and size + len(words) > AUTOMATON_WORDS:
-            built.append(Automaton(held))
+            yield Automaton(held)
             held, size = [], 0
         held.append((r.item, words))
         size += len(words)
-    return built + ([Automaton(held)] if held else [])
+    yield Automaton(held)
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of each document from its rows of several automata."""
+    for b in batches:
+        rows = []
+        for id_, tag, n, parts in zip(*[b.column(c).to_pylist() for c in range(4)]):
+            s, e = runs(*[np.array([x for p in parts for x in p[c]], np.int64) for c in ("starts", "ends")])
+            rows.append((id_, tag, n, s.tolist(), e.tolist(), _named({x for p in parts for x in p["items"]})))
+        yield from batched(iter(rows), _SCHEMA)
+
+
+def marked(docs: DataFrame, parts: Iterator[Automaton], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, tag, n_words, starts, ends, items) of every row; id and tag as `keyed` has them.
+
+    Documents stream past one automaton after the other; what they hit is stored, and where a benchmark needs several
+    automata the intervals of a document are united.
+    """
+    texts = keyed(docs, id_col, text_col)
+    first, more = None, []
+    for automaton in parts:
+        if first is None:
+            first = stored(texts.mapInArrow(_scan(automaton, False), _MARKED))
+        else:
+            # Rows that repeat id and text hit the same.
+            more.append(stored(texts.mapInArrow(_scan(automaton, True), _MARKED)).dropDuplicates(["id", "tag"]))
+    if not more:
+        return first
+    hit = ["starts", "ends", "items"]
+    others = reduce(DataFrame.union, more).groupBy("id", "tag").agg(F.collect_list(F.struct(*hit)).alias("others"))  # a row of each automaton
+    joined = first.join(stored(others), ["id", "tag"], "left")
+    parts = F.concat(F.array(F.struct(*hit)), F.coalesce("others", F.array().cast("array<struct<starts:array<bigint>,ends:array<bigint>,items:array<string>>>")))
+    return joined.select("id", "tag", "n_words", parts.alias("parts")).mapInArrow(_merged, _MARKED)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, starts, ends, items) for every row: disjoint intervals of hit words, and the items found.
 
-    A null or empty text has no words. Repeated rows give repeated rows, a null id stays null, an empty benchmark hits
-    nothing and an empty table gives no rows. Items without an id hit like others and are one null, the last, in the
-    items. Other columns are not looked at.
+    A null or empty text has no words; long texts are read whole. Repeated rows give repeated rows, a null id stays
+    null, an empty benchmark hits nothing and an empty table gives no rows. Items without an id hit like others and are
+    one null, the last, in the items. Other columns are not looked at, whatever their names.
     """
-    given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return given.mapInArrow(_scan(automata(benchmark)), HITS)
+    return marked(docs, automata(benchmark), id_col, text_col).select(unkeyed().alias("doc_id"), "n_words", "starts", "ends", "items")
 
 
 def digest(found: DataFrame) -> DataFrame:
     """Numbers and a hash for each row; items without an id count as one in n_items, and have no name to hash."""
-    n_hit = F.aggregate(F.arrays_zip("starts", "ends"), F.lit(0).cast("long"), lambda n, x: n + x["ends"] - x["starts"])
-    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256")).withColumn(
-        "contaminated", (F.col("n_hit") > 0) & (SHARE * F.col("n_hit") >= F.col("n_words"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        _n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated().alias("contaminated"),
     )
 
 
-def _clean(automata_: list[Automaton], text_at: int):
+def _n_hit() -> Column:
+    return F.aggregate(F.arrays_zip("starts", "ends"), F.lit(0).cast("long"), lambda n, x: n + x["ends"] - x["starts"])
+
+
+def contaminated() -> Column:
+    return (_n_hit() > 0) & (SHARE * _n_hit() >= F.col("n_words"))
+
+
+def _filter(automaton: Automaton, text_at: int):
     def dirty(text: bytes) -> bool:
         words = words_of(text)
-        s, e = runs(*(np.concatenate(x) for x in zip(*[a.scan(words)[:2] for a in automata_]))) if automata_ else (np.zeros(0, int),) * 2
+        s, e, _ = automaton.scan(words)
         n = int((e - s).sum())
         return n > 0 and SHARE * n >= len(words)
 
@@ -199,6 +253,62 @@ def _clean(automata_: list[Automaton], text_at: int):
     return run
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, all columns."""
-    return docs.mapInArrow(_clean(automata(benchmark), docs.columns.index(text_col)), docs.schema)
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that are not contaminated, all columns. Null and empty texts stay, and so do repeated rows; an
+    empty table stays empty. Documents that one automaton can judge do not leave their task."""
+    parts = automata(benchmark)
+    first, second = next(parts), next(parts, None)
+    if second is None:
+        return docs.mapInArrow(_filter(first, docs.columns.index(text_col)), docs.schema)
+    found = marked(docs, chain([first, second], parts), id_col, text_col)
+    dirty = stored(found.where(contaminated()).select("id", "tag").distinct())
+    return _rowed(docs, id_col, text_col).join(dirty, ["id", "tag"], "left_anti").select("row.*")
+
+
+def _rowed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, id, tag): the given columns as one, whatever their names, and the key of `keyed`."""
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("tag")
+    return docs.select(F.struct("*").alias("row"), *key)
+
+
+def _without(text: bytes, starts: list[int], ends: list[int]) -> bytes:
+    """The text without the words of the intervals; what separates words stays, but for that inside of an interval."""
+    blank = np.frombuffer(text.translate(_FOLD), np.uint8) == 32
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]])))
+    begin, end = edges[::2], edges[1::2]
+    out, at = [], 0
+    for s, e in zip(starts, ends):
+        out.append(text[at : begin[s]])
+        at = end[e - 1]
+    return b"".join(out) + text[at:]
+
+
+def without_spans(docs: DataFrame, benchmark: DataFrame, words: int = 2 * WINDOW, share: int = SHARE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, without what they share with the benchmark: each hit span of at least so many words
+    goes, and every hit span of a document in which at least one word in `share` is hit.
+
+    A column n_chars is counted anew where a text changes. Documents stay, even if nothing is left of them; null and empty texts, repeated
+    rows and an empty table stay as they are.
+    """
+    spans = F.filter(F.arrays_zip("starts", "ends"), lambda x: contaminated() | (x["ends"] - x["starts"] >= words))
+    found = marked(docs, automata(benchmark), id_col, text_col).dropDuplicates(["id", "tag"]).select("id", "tag", spans.alias("spans")).where("size(spans) > 0")
+    joined = _rowed(docs, id_col, text_col).join(stored(found), ["id", "tag"], "left")
+    names, at = docs.columns, docs.columns.index(text_col)
+    counts = {i for i, c in enumerate(names) if c == "n_chars"}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            new, size = [], {}
+            for row, (text, cut) in enumerate(zip(b.column(at).cast(pa.binary()).to_pylist(), b.column(len(names)).to_pylist())):
+                if text and cut:
+                    text = _without(text, [x["starts"] for x in cut], [x["ends"] for x in cut])
+                    size[row] = len(text.decode())
+                new.append(None if text is None else text.decode())
+            columns = [b.column(i) for i in range(len(names))]
+            columns[at] = pa.array(new, pa.string())
+            for i in counts:
+                columns[i] = pa.array([size.get(row, n) for row, n in enumerate(columns[i].to_pylist())], columns[i].type)
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    told = joined.select(*[F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(names)], "spans")
+    return told.mapInArrow(run, docs.schema)
