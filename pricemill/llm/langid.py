@@ -207,7 +207,9 @@ def learn(
     shared = known.withColumn("share", F.greatest(F.element_at(shares, F.col("lang")), F.lit(1)))
     long = 2 * F.col("share") + 20
     place = F.pmod(F.xxhash64("h", F.lit(1)), F.greatest(F.char_length("text") - long, F.lit(0)) + 1).cast("int") + 1
-    cut = shared.select("lang", "h", "share", F.substring("text", place, long).alias("text"))
+    # The hash is uniform: twice the wanted share of a language is all but sure to hold enough rows, and few are ranked.
+    bounds = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, -(2**63) + min(int(min(1.0, 2 * sample_docs / n) * 2**64), 2**64 - 1))])
+    cut = shared.where(F.col("h") <= F.element_at(bounds, F.col("lang"))).select("lang", "h", "share", F.substring("text", place, long).alias("text"))
     chosen = cut.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample_docs).drop("rank")
     samples: dict[str, list[bytes]] = {}
     for r in sorted(chosen.collect(), key=lambda r: (r.lang, r.h, r.text)):  # at most sample_docs short stretches of each language
