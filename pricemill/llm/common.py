@@ -90,7 +90,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     labels = stored(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("root")))
     for _ in range(rounds):
         seen = both.join(labels.select(F.col("node").alias("v"), F.col("root").alias("m")), "v").groupBy(F.col("u").alias("node")).agg(F.min("m").alias("m"))
-        lower = labels.join(seen, "node").where("m < root").groupBy("root").agg(F.min("m").alias("to"))
+        # Stored, so that the join by root has plain exchanges on both sides and a large component can be split.
+        lower = stored(labels.join(seen, "node").where("m < root").groupBy("root").agg(F.min("m").alias("to")))
         hung = stored(labels.join(lower, "root", "left").select("node", F.coalesce("to", "root").alias("root"), F.col("root").alias("was")))
         above = hung.select(F.col("node").alias("root"), F.col("root").alias("far"))
         jumped = stored(hung.join(above, "root").select("node", F.least("root", "far").alias("root"), "was"))

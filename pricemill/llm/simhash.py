@@ -112,25 +112,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null and empty texts have fingerprint zero and link like any other. Rows with a null id take part and get their
     component, but name it only if the component has no other id. Repeated rows give repeated rows. An empty table
-    gives no rows. Other columns are not looked at.
+    gives no rows. Texts are read whole, however long, and other columns are not looked at, whatever their names.
     """
     marked = stored(fingerprints(docs, id_col, text_col))
     nodes = stored(marked.groupBy("fp").agg(F.min("id").alias("least")))
     rooted = _rooted(nodes)
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    # Stored, so that both sides of the join are plain exchanges and a fingerprint with many copies can be split.
+    # Stored, so that both sides of the joins are plain exchanges, and a large component or a fingerprint with many
+    # copies can be split.
+    named = stored(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     by_fp = stored(rooted.select("fp", "root").join(named, "root").select("fp", "component_id"))
     return marked.join(by_fp, "fp").select("id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, all columns: the one with the smallest id, and among rows that share it the one
-    with the smallest hash of its text. A null id is larger than any other. Of rows that repeat id and text, one."""
+    with the smallest hash of its text. A null id is larger than any other. Of rows that repeat id and text, one. Null and empty
+    texts are one component; an empty table stays empty."""
     tag = F.xxhash64(F.col("text").isNull(), F.col("text"))
     marked = docs.select(F.col("doc_id").cast("long").alias("id"), "text", tag.alias("tag")).mapInArrow(_fingerprints, "id long, fp long, tag long")
     nodes = stored(marked.groupBy("fp").agg(F.min(F.struct(F.col("id").isNull().alias("nameless"), "id", "tag")).alias("least")))
     first = _rooted(nodes).groupBy("root").agg(F.min("least").alias("least"))
-    kept = first.select(F.col("least.id").alias("__kept"), F.col("least.tag").alias("__kept_tag"))
-    given = docs.withColumn("__tag", tag)
-    same = given["doc_id"].cast("long").eqNullSafe(kept["__kept"]) & (given["__tag"] == kept["__kept_tag"])
-    return given.join(kept, same, "left_semi").dropDuplicates(["doc_id", "__tag"]).drop("__tag")
+    kept = first.select(F.col("least.id").alias("kept_id"), F.col("least.tag").alias("kept_tag"))
+    # The given columns travel as one, whatever their names.
+    given = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), tag.alias("tag"))
+    same = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("tag") == F.col("kept_tag"))
+    return given.join(kept, same, "left_semi").dropDuplicates(["id", "tag"]).select("row.*")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricemill.llm.anchors import _SYMBOL, by_document, byte_symbols, gram_hashes, settle
-from pricemill.llm.common import bytes_of, keyed, partitions, runs, unkeyed
+from pricemill.llm.common import NO_ID, bytes_of, keyed, partitions, runs, unkeyed
 from pricemill.sources.tables import stored
 
 SIZE, GRAM = 100, 28
@@ -271,7 +271,8 @@ def repeated_bytes(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_col:
 
     A null or empty text has no bytes. A null id counts as smaller than any other; rows that share an id are ordered
     by a hash of their text. Rows that repeat both are one document, and each gets its result. An empty table gives no
-    rows. Other columns are not looked at.
+    rows. Long texts are compared whole, in overlapping pieces that no window falls between. Other columns are not
+    looked at, whatever their names.
     """
     texts = keyed(docs, id_col, text_col)
     return texts.join(_found(texts, size, gram), ["id", "tag"], "left").select(unkeyed().alias("doc_id"), "text", "at", "n").mapInArrow(_cut(size), KEPT)
@@ -284,11 +285,13 @@ def digest(found: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """The documents, all columns, their texts without repeated bytes. A character goes if all of its
-    bytes do. A column n_chars is counted anew. Documents of which nothing but white space is left, but had a text, go."""
+    bytes do. A column n_chars is counted anew. Documents of which nothing but white space is left, but had a text, go.
+    Null and empty texts stay, other columns keep their names and values, and an empty table stays empty."""
     texts = keyed(docs, "doc_id", "text")
-    found = _found(texts, size, gram).select(F.col("id").alias("__id"), F.col("tag").alias("__tag"), "at", "n").withColumnsRenamed({"at": "__at", "n": "__n"})
-    id_, tag = F.coalesce(docs["doc_id"].cast("long"), F.lit(-(2**63))), F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    joined = docs.join(found, (id_ == F.col("__id")) & (tag == F.col("__tag")), "left").drop("__id", "__tag")
+    # The given columns travel as one, whatever their names, and are then told by place.
+    given = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"))
+    joined = given.join(_found(texts, size, gram), ["id", "tag"], "left")
+    joined = joined.select(*[F.col("row").getField(c).alias(f"c{i}") for i, c in enumerate(docs.columns)], F.col("at"), F.col("n"))
     names, at = docs.columns, docs.columns.index("text")
     counts = {docs.columns.index("n_chars")} if "n_chars" in docs.columns else set()
 
