@@ -48,8 +48,10 @@ _OUT = frozenset("nav footer aside form dialog menu button fieldset".split())
 _SITE = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead cookie cookies "
     "consent notice notices banner popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations comment comments "
-    "disqus widget pagination pager toolbar login search skip gdpr".split()
+    "disqus replies widget pagination pager toolbar login search skip gdpr".split()
 )
+#: Names that a section of an article may well have.
+_TOPICS = frozenset("login search".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 _NAMED = re.compile(r"""\b(class|id|role|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)""", re.I)
@@ -70,9 +72,9 @@ def _is_site(tag: str, attrs: str, in_article: bool) -> bool:
         elif name == "aria-hidden":
             if value.strip() == "true":
                 return True
-        elif tag not in ("body", "article", "main") and _SITE.intersection(re.split(r"[^a-z0-9]+", value)):
+        elif tag not in ("body", "article", "main") and (_SITE - _TOPICS if in_article else _SITE).intersection(re.split(r"[^a-z0-9]+", value)):
             return True
-        elif tag == "article" and {"comment", "comments"}.intersection(re.split(r"[^a-z0-9]+", value)):
+        elif tag == "article" and {"comment", "comments", "replies"}.intersection(re.split(r"[^a-z0-9]+", value)):
             return True
     return bool(_HIDDEN.search(re.sub(r"""("[^"]*"|'[^']*')""", "", attrs)))
 
@@ -429,10 +431,11 @@ def site_lines(outlines: DataFrame) -> DataFrame:
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for every row.
 
-    A null or empty page has an empty text. Pages whose address is null or can't be read share a host without a name.
+    A null or empty page has an empty text. Where a page has an article or main element, the text is what that element
+    holds, and lines beside it are left out. Long pages are read whole. Pages whose address is null or can't be read share a host without a name.
     Repeated rows give repeated rows and are one page for the pairing; an empty table gives no rows. On a host whose
     pages are all copies or near copies, nothing tells site from text, and lines that markup does not name stay. Other
-    columns are not looked at.
+    columns are not looked at, whatever their names.
     """
     url, page = F.col(url_col).alias("url"), F.col(html_col).alias("html")
     key = F.xxhash64(F.col(id_col), F.col(url_col), F.col(html_col)).alias("key")
