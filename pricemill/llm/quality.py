@@ -151,17 +151,19 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([statistics(t) for t in bytes_of(b.column(2))], pa.list_(pa.float64()))], ["h", "label", "x"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Trees:
-    """Fitted on at most SAMPLE labelled documents that are not held out. Null labels and ids are left out; an id with
-    several labels counts with the largest; without any label every score is 0.5."""
+def learn(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Trees:
+    """Fitted on at most `sample` labelled documents that are not held out. Null labels and ids are left out; an id with
+    several labels counts with the largest, and one with several texts with that of the smallest statistics; without
+    any label every score is 0.5. Texts are measured whole, however long."""
     known = labels.where(~held_out(id_col)).select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("label")).where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     n = known.count()
     # The hash is uniform: a little more than the wanted share is all but sure to hold enough ids.
-    bound = -(2**63) + min(int(min(1.0, 1.1 * SAMPLE / max(n, 1)) * 2**64), 2**64 - 1)
+    bound = -(2**63) + min(int(min(1.0, 1.1 * sample / max(n, 1)) * 2**64), 2**64 - 1)
     hashed = known.withColumn("h", F.xxhash64("id")).where(F.col("h") <= bound)
-    chosen = F.broadcast(hashed.orderBy("h").limit(SAMPLE))  # at most SAMPLE rows of three numbers
+    chosen = F.broadcast(hashed.orderBy("h").limit(sample))  # at most so many rows of three numbers
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(chosen, "id").select("h", "label", "text")
-    rows = sorted(texts.mapInArrow(_measure, "h long, label double, x array<double>").collect(), key=lambda r: (r.h, r.x))
+    measured = texts.mapInArrow(_measure, "h long, label double, x array<double>").groupBy("h", "label").agg(F.min("x").alias("x"))
+    rows = sorted(measured.collect(), key=lambda r: r.h)  # one for each sampled id
     width = len(statistics(b""))
     return fit(np.array([r.x for r in rows], np.float64).reshape(-1, width), np.array([min(max(r.label, 0.0), 1.0) for r in rows]))
 
@@ -170,7 +172,7 @@ def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str =
     """(doc_id, held_out, score, predicted) for every row, from the whole text.
 
     Null counts as empty and both are scored like any text. Repeated rows give repeated rows, rows with a null id count
-    as not held out, an empty table gives no rows. Other columns are not looked at.
+    as not held out, an empty table gives no rows. Other columns are not looked at, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +185,8 @@ def score(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str =
 
 
 def keep_good(docs: DataFrame, trees: Trees, text_col: str = "text") -> DataFrame:
-    """The documents whose score reaches the threshold, all columns."""
+    """The documents whose score reaches the threshold, all columns. Null and empty texts are scored like any other,
+    repeated rows each, and an empty table stays empty."""
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
