@@ -1,11 +1,13 @@
 """Exact top-k inner products over an impact-ordered index, score at a time.
 
 The index is cut into blocks of vectors. In a block each non-zero component is a posting (vector, dimension, value),
-and postings are kept in segments by their quantised impact, the size of the value, in descending order. A batch of
-queries meets a block segment by segment: each segment adds its postings to the partial scores. What the segments not
-yet read can still add to a vector is at most the product of two norms (Cauchy-Schwarz): the query's and that of the
-vector's unread components. Once the k-th best lower bound proves that few vectors can still be members, reading
-stops and these are scored again from their whole integer vectors. Without such a proof all segments are read.
+and postings are kept in segments by their quantised impact, the size of the value, in descending order. The blocks
+are stored with their postings in that order. A batch of queries meets a block segment by segment: each segment adds
+its postings to the partial scores. What the segments not yet read can still add to a vector's score is at most the
+product of two norms (Cauchy-Schwarz), both over the vector's unread dimensions: the query's and the vector's own. A
+vector that no query can want any more is left out of the segments that follow. Once the k-th best lower bound proves
+that few vectors can still be members, reading stops and these are scored again from their whole integer vectors.
+Without such a proof all segments are read.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ from pricemill.llm.common import stored
 
 #: Vectors in an index block and queries in a batch.
 BLOCK, BATCH = 8192, 512
-#: Segments start at these parts of a block's largest impact, in descending order.
-LEVELS = (0.5, 0.25, 0.125, 0.0)
+#: Impacts are quantised into so many equal steps of a block's largest one.
+LEVELS = 16
 #: Possible members per query at which reading stops.
 FEW = 4
 SCALE = 256.0
@@ -39,24 +41,31 @@ def components_of(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     )
 
 
-_PACKED = "group int, ids binary, dims int, cells binary"
+_PACKED = "group int, ids binary, dims int, cells binary, postings binary, ends binary"
 
 
-def _pack(pdf):
-    import pandas as pd
+def _pack(indexed: bool):
+    def pack(pdf):
+        import pandas as pd
 
-    n = max((len(v) for v in pdf["v"]), default=0)
-    cells = np.zeros((len(pdf), n), "<i8")
-    for i, v in enumerate(pdf["v"]):
-        cells[i, : len(v)] = v
-    order = np.argsort(pdf["id"].to_numpy(), kind="stable")
-    ids = pdf["id"].to_numpy().astype("<i8")[order]
-    return pd.DataFrame({"group": [int(pdf["group"].iloc[0])], "ids": [ids.tobytes()], "dims": [n], "cells": [cells[order].tobytes()]})
+        n = max((len(v) for v in pdf["v"]), default=0)
+        cells = np.zeros((len(pdf), n), "<i8")
+        for i, v in enumerate(pdf["v"]):
+            cells[i, : len(v)] = v
+        order = np.argsort(pdf["id"].to_numpy(), kind="stable")
+        ids, cells = pdf["id"].to_numpy().astype("<i8")[order], cells[order]
+        postings, ends = segments(cells) if indexed else (np.zeros(0, "<u4"), np.zeros(0, "<i8"))
+        row = {"group": int(pdf["group"].iloc[0]), "ids": ids.tobytes(), "dims": n, "cells": cells.tobytes()}
+        return pd.DataFrame([row | {"postings": postings.tobytes(), "ends": ends.tobytes()}])
 
+    return pack
 
-def packed(rows: DataFrame, groups: int) -> DataFrame:
-    """Rows (id, v) in so many groups, each one row; a hash of id and vector decides, so no group is hot."""
-    return rows.withColumn("group", F.pmod(F.xxhash64("id", F.to_json("v")), F.lit(groups)).cast("int")).groupBy("group").applyInPandas(_pack, _PACKED)
+
+def packed(rows: DataFrame, groups: int, indexed: bool) -> DataFrame:
+    """Rows (id, v) in so many groups, each one row; places of stored rows decide, so that repeated rows spread as well.
+    An indexed group has its postings in descending order of impact."""
+    spread = rows.withColumn("group", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
+    return spread.groupBy("group").applyInPandas(_pack(indexed), _PACKED)
 
 
 def _unpack(ids: bytes, dims: int, cells: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -64,42 +73,64 @@ def _unpack(ids: bytes, dims: int, cells: bytes) -> tuple[np.ndarray, np.ndarray
     return ids, np.frombuffer(cells, "<i8").reshape(len(ids), dims)
 
 
-def segments(cells: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Postings (vector, dimension, value) by descending impact."""
-    size = np.abs(cells).astype(np.float64)
+def segments(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the non-zero cells by descending quantised impact, and where each level's segment ends."""
+    size = np.abs(cells).astype(np.float64).reshape(-1)
     top = size.max(initial=0.0)
-    out, above = [], np.inf
-    for part in LEVELS:
-        at = np.nonzero((size >= part * top) & (size < above) & (size > 0))
-        out.append((*at, cells[at]))
-        above = part * top
-    return out
-
-
-def best_in_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, vector, score): the k best of the block for each query, ties to the smaller id."""
+    if not top:
+        return np.zeros(0, "<u4"), np.zeros(LEVELS, "<i8")
+    level = np.minimum((size / top * LEVELS).astype(np.int64), LEVELS - 1)
+    at = np.flatnonzero(size > 0)
+    order = np.argsort(-level[at], kind="stable")
+    counts = np.bincount(LEVELS - 1 - level[at], minlength=LEVELS)
+    return at[order].astype("<u4"), np.cumsum(counts).astype("<i8")
+
+
+def best_in_block(
+    q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int, index: tuple[np.ndarray, np.ndarray] | None = None
+) -> tuple[list[tuple[int, int, int]], float]:
+    """The k best of the block for each query, ties to the smaller id, as (query, vector, score); and the share of the
+    block's postings that were read for it."""
     dims = max(q.shape[1], v.shape[1])
+    postings, ends = segments(v) if index is None else index
+    width = max(v.shape[1], 1)
     q, v = (np.pad(x, ((0, 0), (0, dims - x.shape[1]))) for x in (q, v))
     qf = q.astype(np.float64)
-    q_norm = np.sqrt((qf**2).sum(axis=1))
-    unread = (v.astype(np.float64) ** 2).sum(axis=1)
-    scores = np.zeros((len(q), len(v)))
-    own = q_ids[:, None] == ids[None, :]
     exact = float(np.abs(qf).max(initial=0.0)) * float(np.abs(v).max(initial=0)) * max(dims, 1) < 2**53
+    own = q_ids[:, None] == ids[None, :]
     members = ~own
-    for rows, cols, values in segments(v) if exact else ():
-        part = np.zeros(v.shape)
-        part[rows, cols] = values
+    alive = np.arange(len(v))  # vectors that some query can still want
+    place = np.arange(len(v))
+    scores = np.zeros((len(q), len(v)))
+    rest = v.astype(np.float64)
+    begin, read = 0, 0 if exact else len(postings)
+    for end in ends.tolist() if exact else ():
+        if begin == end:
+            continue
+        rows, cols = np.divmod(postings[begin:end].astype(np.int64), width)
+        kept = place[rows] >= 0
+        rows, cols, begin = place[rows[kept]], cols[kept], end
+        read += len(rows)
+        part = np.zeros(rest.shape)
+        part[rows, cols] = rest[rows, cols]
+        rest[rows, cols] = 0
         scores += qf @ part.T
-        unread = unread - np.bincount(rows, values.astype(np.float64) ** 2, len(v))
-        slack = q_norm[:, None] * np.sqrt(np.maximum(unread, 0))[None, :]
-        if len(v) > k:
-            low = np.where(own, -np.inf, scores - slack)
+        if len(alive) > k:
+            unread = rest != 0
+            slack = np.sqrt((qf**2) @ unread.T) * np.sqrt((rest**2).sum(axis=1))
+            low = np.where(own[:, alive], -np.inf, scores - slack)
             kth = -np.partition(-low, k - 1, axis=1)[:, k - 1]
             # A relative margin covers the rounding of the square roots.
-            members = ~own & (scores + slack >= kth[:, None] - 1e-6 * (1 + np.abs(kth[:, None])))
-            if members.sum() <= FEW * k * len(q):
+            wanted = ~own[:, alive] & (scores + slack >= kth[:, None] - 1e-6 * (1 + np.abs(kth[:, None])))
+            members = np.zeros_like(own)
+            members[:, alive] = wanted
+            some = wanted.any(axis=0)
+            if wanted.sum() <= FEW * k * len(q):
                 break
+            if not some.all():
+                alive, scores, rest = alive[some], scores[:, some], rest[some]
+                place = np.full(len(v), -1)
+                place[alive] = np.arange(len(alive))
     out = []
     for i in range(len(q)):
         at = np.nonzero(members[i])[0]
@@ -109,7 +140,7 @@ def best_in_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, v: np.ndarr
             true = np.array([sum(int(a) * int(b) for a, b in zip(v[j], q[i])) for j in at], object)
         order = sorted(zip((-true).tolist(), ids[at].tolist()))[:k] if len(at) <= 64 * k else _top(true, ids[at], k)
         out += [(int(q_ids[i]), int(j), int(-s)) for s, j in order]
-    return out
+    return out, read / max(len(postings), 1)
 
 
 def _top(true: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int]]:
@@ -122,7 +153,8 @@ def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for r in b.to_pylist():
-                found = best_in_block(*_unpack(r["q_ids"], r["q_dims"], r["q_cells"]), *_unpack(r["ids"], r["dims"], r["cells"]), k)
+                index = np.frombuffer(r["postings"], "<u4"), np.frombuffer(r["ends"], "<i8")
+                found, _ = best_in_block(*_unpack(r["q_ids"], r["q_dims"], r["q_cells"]), *_unpack(r["ids"], r["dims"], r["cells"]), k, index)
                 q, v, s = zip(*found) if found else ((), (), ())
                 yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, pa.int64())], ["query_id", "vec_id", "score"])
 
@@ -135,13 +167,14 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
     Vectors that are null, hold null or non-finite components, or have no id take no part; shorter vectors count as
     filled with zeros. Ties go to the smaller id. Repeated rows are candidates each on their own, but no row with the
     query's id is one, and a repeated query answers once. Fewer candidates than k give fewer rows; an empty table none.
+    Other columns are not looked at, whatever their names.
     """
     rows = stored(components_of(vectors, id_col, vec_col))
     asking = rows.where(F.col("id") % every == 0).dropDuplicates(["id"])
     sizes = rows.agg(F.count("*").alias("all"), F.sum((F.col("id") % every == 0).cast("int")).alias("asking")).first()
     blocks = max(1, -(-sizes.all // BLOCK))
-    index = packed(rows, blocks)
-    batches = packed(asking, max(1, -(-(sizes.asking or 0) // BATCH))).select(
+    index = stored(packed(rows, blocks, True))
+    batches = packed(stored(asking), max(1, -(-(sizes.asking or 0) // BATCH)), False).select(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("group"),
         F.col("ids").alias("q_ids"),
         F.col("dims").alias("q_dims"),
