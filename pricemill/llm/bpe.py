@@ -259,7 +259,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str | None = None,
     """(doc_id, ids, decoded) for every row.
 
     A null or empty text has no ids. Repeated rows give repeated rows, a null id stays null, an empty table gives no
-    rows. Other columns are not looked at.
+    rows. A text longer than a block is a block of its own. Other columns are not looked at, whatever their names.
     """
     found_path, found_pattern = vocabulary() if path is None or pattern is None else (path, pattern)
     path, pattern = path or found_path, pattern or found_pattern

@@ -98,7 +98,9 @@ def shard_by_bytes(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", te
 
     Size is the UTF-8 length of the text plus 8; a null text has no bytes and the checksum of an empty text. A null id
     stands before all others. Rows that repeat both id and text cannot be told apart: they stay in one shard. Fewer
-    rows than shards leave shards empty; an empty table gives no rows. Slots count from 0 without gaps in each shard.
+    rows than shards leave shards empty; an empty table gives no rows. Slots count from 0 without gaps in each shard. A
+    text longer than a shard's part stays whole and may leave the next shard empty. Other columns are not looked at,
+    whatever their names.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
