@@ -29,25 +29,33 @@ SIZE, GRAM = 50, 14
 CROWD = 20_000
 #: Edges that are compacted together, as whole buckets.
 BLOCK = 1 << 18
-_START, _END = np.uint64(0), np.uint64(1)
+#: What stands before a run's first edge and after its last one.
+_START, _END = -1, -2
 
 _RUNS = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("tag", pa.int64()), ("at", pa.int64()), ("edges", pa.binary()), ("hot", pa.bool_())])
 RUNS = "key long, id long, tag long, at long, edges binary, hot boolean"
-PATHS = "path long, id long, tag long, at long, n int"
+PATHS = "path long, check long, id long, tag long, at long, n int"
+_PATHS = ["path", "check", "id", "tag", "at", "n"]
+
+
+def edges_of(words: list[bytes], size: int, parts: list[tuple[int, int]]) -> Iterator[np.ndarray]:
+    """The edges of runs (first window, number of windows), each as the 128 bits of a hash of its words' bytes."""
+    line = memoryview(b" ".join(words))
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    begin = np.concatenate([[0], end[:-1] + 1]).tolist()
+    end, h = end.tolist(), xxhash.xxh3_128_digest
+    for at, n in parts:
+        yield np.frombuffer(b"".join(h(line[begin[i] : end[i + size - 1]]) for i in range(at, at + n)), "<u8").reshape(-1, 2)
 
 
 def _expand(size: int):
-    """The edges of open runs, as hashes of their words."""
+    """The edges of open runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        h = xxhash.xxh3_64_intdigest
         for b in batches:
             rows = []
             for id_, tag, text, parts in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), unpacked(b.column(2)), b.column(3).to_pylist()):
-                view = memoryview(word_symbols(text)[1])
-                for p in parts:
-                    begin = range(8 * p["at"], 8 * (p["at"] + p["n"]), 8)
-                    edges = np.array([h(view[s : s + 8 * size]) for s in begin], "<u8")
+                for p, edges in zip(parts, edges_of(text.split(), size, [(p["at"], p["n"]) for p in parts])):
                     rows.append((p["key"], id_, tag, p["at"], edges.tobytes(), p["hot"]))
             for i in range(0, len(rows), 10_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[i : i + 10_000]), _RUNS)], schema=_RUNS)
@@ -56,29 +64,29 @@ def _expand(size: int):
 
 
 def paths(runs_: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(run, first edge in it, number of edges, path) of each place of the nonbranching paths that occur twice or more
-    in some runs of edges, which hold whole buckets."""
+    """(run, first edge in it, number of edges, path as 128 bits) of each place of the nonbranching paths that occur
+    twice or more in some runs of edges, which hold whole buckets."""
     edges = np.concatenate(runs_)
     sizes = np.array([len(r) for r in runs_])
     first = np.zeros(len(edges), bool)
     first[np.cumsum(sizes) - sizes] = True
-    before = np.where(first, _START, np.concatenate([[_START], edges[:-1]]))
-    after = np.where(np.concatenate([first[1:], [True]]), _END, np.concatenate([edges[1:], [_END]]))
-    order = np.argsort(edges, kind="stable")
+    order = np.lexsort((edges[:, 1], edges[:, 0]))
     same = edges[order]
-    heads = np.flatnonzero(np.concatenate([[True], same[1:] != same[:-1]]))
+    heads = np.flatnonzero(np.concatenate([[True], (same[1:] != same[:-1]).any(axis=1)]))
+    times = np.diff(np.concatenate([heads, [len(edges)]]))
     of = np.empty(len(edges), np.int64)
-    of[order] = np.repeat(np.arange(len(heads)), np.diff(np.concatenate([heads, [len(edges)]])))
+    of[order] = np.repeat(np.arange(len(heads)), times)
+    before = np.where(first, _START, np.concatenate([[_START], of[:-1]]))
+    after = np.where(np.concatenate([first[1:], [True]]), _END, np.concatenate([of[1:], [_END]]))
     one_before, one_after = (np.minimum.reduceat(x[order], heads) == np.maximum.reduceat(x[order], heads) for x in (before, after))
-    times = np.diff(np.concatenate([heads, [len(edges)]]))
     linked = np.concatenate([[False], one_after[of[:-1]] & one_before[of[1:]]]) & ~first
     start = np.flatnonzero(~linked)
     n = np.diff(np.concatenate([start, [len(edges)]]))
     often = times[of[start]] > 1
     start, n = start[often], n[often]
     owner = np.repeat(np.arange(len(runs_)), sizes)[start]
-    data = memoryview(edges.tobytes())
-    path = np.array([xxhash.xxh3_64_intdigest(data[8 * s : 8 * (s + k)]) for s, k in zip(start.tolist(), n.tolist())], np.uint64)
+    data, h = memoryview(edges.tobytes()), xxhash.xxh3_128_digest
+    path = np.frombuffer(b"".join(h(data[16 * s : 16 * (s + k)]) for s, k in zip(start.tolist(), n.tolist())), "<i8").reshape(-1, 2)
     return owner, start - (np.cumsum(sizes) - sizes)[owner], n, path
 
 
@@ -86,9 +94,10 @@ def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Paths of whole buckets; the runs come sorted by key."""
 
     def rows_of(held: list[tuple]) -> pa.RecordBatch:
-        owner, off, n, path = paths([np.frombuffer(r[4], "<u8") for r in held])
+        owner, off, n, path = paths([np.frombuffer(r[4], "<u8").reshape(-1, 2) for r in held])
         id_, tag, at = (np.array([r[c] for r in held], np.int64) for c in (1, 2, 3))
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in (path.view(np.int64), id_[owner], tag[owner], at[owner] + off, n.astype(np.int32))], ["path", "id", "tag", "at", "n"])
+        columns = (path[:, 0], path[:, 1], id_[owner], tag[owner], at[owner] + off, n.astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _PATHS)
 
     held: list[tuple] = []
     volume = 0
@@ -98,7 +107,7 @@ def _compact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield rows_of(held)
                 held, volume = [], 0
             held.append(row)
-            volume += len(row[4]) // 8
+            volume += len(row[4]) // 16
     if held:
         yield rows_of(held)
 
@@ -107,9 +116,10 @@ def _single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each edge as a path of its own."""
     for b in batches:
         for id_, tag, at, edges in zip(*[b.column(c).to_pylist() for c in range(1, 5)]):
-            e = np.frombuffer(edges, "<i8")
+            e = np.frombuffer(edges, "<i8").reshape(-1, 2)
             m = len(e)
-            yield pa.RecordBatch.from_arrays([pa.array(e), pa.array(np.full(m, id_, np.int64)), pa.array(np.full(m, tag, np.int64)), pa.array(at + np.arange(m)), pa.array(np.ones(m, np.int32))], ["path", "id", "tag", "at", "n"])
+            columns = (e[:, 0], e[:, 1], np.full(m, id_, np.int64), np.full(m, tag, np.int64), at + np.arange(m), np.ones(m, np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _PATHS)
 
 
 def repeats(docs: DataFrame, size: int, gram: int) -> DataFrame:
@@ -127,8 +137,9 @@ def repeats(docs: DataFrame, size: int, gram: int) -> DataFrame:
     runs_ = stored(spark, edges=wanted.mapInArrow(_expand(size), RUNS))["edges"]
     dealt = runs_.where("not hot").repartition(partitions(spark), "key").sortWithinPartitions("key")
     occurrences = stored(spark, paths=dealt.mapInArrow(_compact, PATHS).union(runs_.where("hot").mapInArrow(_single, PATHS)))["paths"]
-    sources = stored(spark, sources=occurrences.groupBy("path").agg(F.min("id").alias("source")))["sources"]
-    late = occurrences.join(sources, "path").where("source < id").select("id", "tag", "at", "n")
+    by = ["path", "check"]
+    sources = stored(spark, sources=occurrences.groupBy(*by).agg(F.min("id").alias("source")))["sources"]
+    late = occurrences.join(sources, by).where("source < id").select("id", "tag", "at", "n")
     return sure.union(late)
 
 
@@ -159,8 +170,9 @@ def repeated_words(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_col:
     joined by one space.
 
     A null or empty text has no words. A null id counts as smaller than any other, and rows that share an id do not
-    count as earlier than each other. Repeated rows give repeated rows. An empty table gives no rows. Other columns
-    are not looked at.
+    count as earlier than each other. Repeated rows give repeated rows. An empty table gives no rows. Long texts are
+    compared whole, in overlapping pieces that no window falls between. Other columns are not looked at, whatever their
+    names.
     """
     texts = keyed(docs, id_col, text_col)
     found = repeats(texts.dropDuplicates(["id", "tag"]) if _repeated(texts) else texts, size, gram).groupBy("id", "tag").agg(F.collect_list("at").alias("at"), F.collect_list("n").alias("n"))
