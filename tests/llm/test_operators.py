@@ -1,6 +1,7 @@
 """Each corpus operator against a brute-force version, on small tables with the awkward cases."""
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -304,12 +305,43 @@ def test_top_k_stops_only_on_proof():
     v = rng.integers(-300, 300, (400, 24))
     v[:20] *= 50
     ids = np.arange(400)
-    got = blockmax.best_in_block(ids[:40], v[:40], ids, v, 5)
+    got, _ = blockmax.best_in_block(ids[:40], v[:40], ids, v, 5)
     for i in range(40):
         want = sorted((-int(v[i] @ v[j]), j) for j in range(400) if j != i)[:5]
         assert [(-s, j) for q, j, s in got if q == i] == want
 
 
+def test_top_k_reads_a_part_of_clustered_postings():
+    """Less than half of the postings are read where a query's neighbours stand out, and the result is exact."""
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(60, 48))
+    v = np.floor(256 * (centres[rng.integers(0, 60, 3000)] + 0.04 * rng.normal(size=(3000, 48)))).astype(np.int64)
+    v[100] = 0
+    v[200:210] = v[5]
+    ids = np.arange(3000)
+    shares = []
+    for a in range(0, 300, 10):
+        got, share = blockmax.best_in_block(ids[a : a + 10], v[a : a + 10], ids, v, 5)
+        shares.append(share)
+        for i in range(a, a + 10):
+            scores = v @ v[i]
+            want = sorted((-int(scores[j]), j) for j in range(3000) if j != i)[:5]
+            assert [(-s, j) for q, j, s in got if q == i] == want
+    assert np.median(shares) < 0.5
+
+
+def test_top_k_segments_are_in_order_of_impact():
+    rng = np.random.default_rng(8)
+    v = rng.integers(-50, 50, (30, 7))
+    postings, ends = blockmax.segments(v)
+    size = np.abs(v).reshape(-1)
+    assert sorted(postings.tolist()) == np.flatnonzero(size).tolist() and ends[-1] == len(postings)
+    step = size.max() / blockmax.LEVELS
+    for level, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
+        low = (blockmax.LEVELS - 1 - level) * step
+        assert all(low <= x <= low + step for x in size[postings[a:b]].tolist())
+
+
 def test_shards(spark, rows):
     hot = [(10_000 + k, "the same text again", "en") for k in range(500)]
     df = frame(spark, rows + hot + [(None, "no id", "en")])
@@ -330,6 +362,33 @@ def test_shards(spark, rows):
     assert sharding.shard_by_bytes(df.where("false")).count() == 0
 
 
+def test_shards_against_a_plain_cut(spark, rows):
+    """Shards are stretches of one order of all rows, and each begins where a plain running sum says, within a row's
+    bytes and the tolerance."""
+    from pyspark.sql import functions as F
+
+    more = rows + [(1000 + k, "same text here", "en") for k in range(300)]
+    df = frame(spark, more)
+    got = {}
+    for r in sharding.shard_by_bytes(df, 7).collect():
+        got.setdefault(r.doc_id, []).append(r)
+    hashed = df.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()
+    order = sorted((r.h, r.doc_id, len((r.text or "").encode()) + 8, zlib.crc32((r.text or "").encode())) for r in hashed)
+    total, largest = sum(x[2] for x in order), max(x[2] for x in order)
+    shards = [got[i][0].shard for _, i, _, _ in order]
+    assert shards == sorted(shards) and set(shards) <= set(range(7))
+    before = 0
+    for k, (_, i, size, crc) in enumerate(order):
+        r = got[i][0]
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (size, crc, "bytes", None)
+        # A document longer than a shard's part leaves the next one empty.
+        for s in range(shards[k - 1] + 1 if k else 1, shards[k] + 1):
+            assert abs(before - s * total / 7) <= largest + sharding.TOLERANCE * total
+        before += size
+    for s in range(7):
+        assert sorted(r.slot for rs in got.values() for r in rs if r.shard == s) == list(range(shards.count(s)))
+
+
 def test_shards_cut_a_group_of_copies(spark):
     df = spark.createDataFrame([(i, "copy") for i in range(240)], "doc_id long, text string")
     counts = Counter(r.shard for r in sharding.shard_by_bytes(df).collect())
@@ -362,6 +421,76 @@ def test_quality_ignores_held_out_labels(spark):
     assert np.array_equal(a.value, b.value) and np.array_equal(a.feature, b.feature)
 
 
+def plain_gain(g, h, left):
+    def part(of):
+        return g[of].sum() ** 2 / (h[of].sum() + quality.RIDGE)
+
+    return part(left) + part(~left) - g.sum() ** 2 / (h.sum() + quality.RIDGE)
+
+
+def test_quality_trees_against_a_plain_search(monkeypatch):
+    """Every split is the best of all cuts of all features, every leaf has the plain step, and the flat walk ends where a
+    recursive one does."""
+    monkeypatch.setattr(quality, "DEPTH", 3)
+    monkeypatch.setattr(quality, "TREES", 4)
+    monkeypatch.setattr(quality, "BINS", 8)
+    rng = np.random.default_rng(3)
+    x = np.column_stack([rng.normal(size=300), rng.integers(0, 3, 300), np.full(300, 2.0), rng.pareto(1, 300)])
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] == 1) | (x[:, 3] > 4)).astype(float)
+    trees = quality.fit(x, y)
+    b = trees.binned(x)
+    total = np.full(len(x), np.log(y.mean() / (1 - y.mean())))
+
+    def check(t, node, rows, depth, g, h):
+        """Walks down with the rows of a node; returns the value that each of them gets."""
+        assert trees.value[t, node] == pytest.approx(-quality.RATE * g[rows].sum() / (h[rows].sum() + quality.RIDGE))
+        cuts = {}
+        if depth < quality.DEPTH:
+            for f in range(x.shape[1]):
+                for c in range(quality.BINS):
+                    left = b[rows, f] <= c
+                    if quality.LEAF <= left.sum() <= len(rows) - quality.LEAF:
+                        cuts[f, c] = plain_gain(g[rows], h[rows], left)
+        best = max(cuts.values(), default=0.0)
+        f = trees.feature[t, node]
+        if depth == quality.DEPTH or f < 0:
+            assert best <= 1e-6 + 1e-9
+            return {int(i): trees.value[t, node] for i in rows}
+        assert cuts[f, trees.bin[t, node]] == pytest.approx(best)
+        left = b[rows, f] <= trees.bin[t, node]
+        return check(t, 2 * node + 1, rows[left], depth + 1, g, h) | check(t, 2 * node + 2, rows[~left], depth + 1, g, h)
+
+    for t in range(quality.TREES):
+        p = 1 / (1 + np.exp(-total))
+        step = check(t, 0, np.arange(len(x)), 0, p - y, p * (1 - p))
+        total += np.array([step[i] for i in range(len(x))])
+    assert trees.score(x) == pytest.approx(1 / (1 + np.exp(-total)))
+    assert ((trees.score(x) > 0.5) == (y > 0.5)).mean() > max(y.mean(), 1 - y.mean()) + 0.1
+
+
+def test_quality_statistics_by_hand():
+    text = b"Ab c!\n12 $x |\xc3\xa9"
+    found = dict(zip([*quality._CLASSES], quality.statistics(text)))
+    assert [round(found[k] * len(text)) for k in ("lower", "upper", "digit", "beyond", "line", "loud", "sign", "bar")] == [3, 1, 2, 2, 1, 1, 1, 1]
+    assert all(np.isfinite(quality.statistics(t)).all() for t in (b"", b" ", b"\n", b"a" * 100_000))
+
+
+def test_quality_sample_is_bounded_by_documents(spark):
+    """An id that repeats counts once, whatever number of rows it has."""
+    rng = random.Random(14)
+    rows = [(i % 5, words(rng, 20 + i), "en") for i in range(60)] + [(100 + i, words(rng, 15), "en") for i in range(30)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in [*range(5), *range(100, 130)]], "doc_id long, quality int, toxic int")
+    seen = []
+    fit = quality.fit
+    try:
+        quality.fit = lambda x, y: seen.append(len(x)) or fit(x, y)
+        quality.learn(frame(spark, rows), labels)
+        quality.learn(frame(spark, rows), labels, sample=7)
+    finally:
+        quality.fit = fit
+    assert seen[0] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in [*range(5), *range(100, 130)]) and seen[1] <= 7
+
+
 def greedy(sample, text):
     n = at = 0
     while at < len(text):
@@ -376,11 +505,38 @@ def test_language_phrases_are_greedy_longest_matches():
     rng = random.Random(2)
     samples = {"a": "".join(rng.choice("abc ") for _ in range(600)).encode(), "b": "".join(rng.choice("bcd ") for _ in range(500)).encode()}
     m = langid.model(samples)
-    texts = ["".join(rng.choice("abcdx ") for _ in range(n)).encode() for n in (0, 1, 7, 300, langid.PIECE, 3 * langid.PIECE + 5)]
+    texts = ["".join(rng.choice("abcdx ") for _ in range(n)).encode() for n in (0, 1, 7, 300, langid.PIECE, 0, 3 * langid.PIECE + 5)]
+    # Long phrases that never meet those of a piece parsed alone, and pieces that end in the middle of a phrase.
+    texts += [b"a" * 5000, (samples["a"] * 30)[7:4000], (samples["b"] * 3)[:1700] + b"x" + samples["a"] * 9]
     got = langid.phrases(m, texts)
     for t, row in zip(texts, got):
-        pieces = [t[i : i + langid.PIECE] for i in range(0, len(t), langid.PIECE)]
-        assert row.tolist() == [sum(greedy(samples[k], p) for p in pieces) for k in ("a", "b")]
+        assert row.tolist() == [greedy(samples[k], t) for k in ("a", "b")]
+
+
+def test_phrases_do_not_depend_on_pieces(monkeypatch):
+    rng = random.Random(12)
+    samples = {"a": "".join(rng.choice("ab ") for _ in range(300)).encode(), "b": b"ab" * 50}
+    texts = ["".join(rng.choice("ab c") for _ in range(rng.randrange(200))).encode() for _ in range(60)] + [b"ab" * 400]
+    m = langid.model(samples)
+    whole = langid.phrases(m, texts)
+    for piece, lanes in ((1, 7), (3, 5), (64, 1000)):
+        monkeypatch.setattr(langid, "PIECE", piece)
+        monkeypatch.setattr(langid, "LANES", lanes)
+        assert (langid.phrases(m, texts) == whole).all()
+
+
+def test_language_samples(spark):
+    """An opening that all texts of a language share is not all that is learned of it, and a small sample still wins."""
+    rng = random.Random(13)
+    sets = {"en": "the of and thing with ation ing house water under".split(), "es": "el de que los casa agua bajo cion mente para".split()}
+    rows = [(i, " ".join(rng.choice(sets[k]) for _ in range(80)), k) for i, k in enumerate(["en", "es"] * 300)]
+    opened = [(i, ("xyz " * 24 if k == "es" else "") + t, k) for i, t, k in rows]
+    few = [r for r in rows if r[2] == "en"] + [(r[0], r[1][:90], r[2]) for r in rows if r[2] == "es"][:4]
+    tested = [(10_000 + i, " ".join(rng.choice(sets[k]) for _ in range(60)), k) for i, k in enumerate(["en", "es"] * 40)]
+    for learned in (opened, few):
+        m = langid.learn(frame(spark, learned))
+        got = {r.doc_id: r.lang_pred for r in langid.predict(frame(spark, tested), m).collect()}
+        assert sum(got[i] == k for i, _, k in tested) >= 78
 
 
 def test_language(spark):
@@ -532,3 +688,142 @@ def test_empty_tables(spark):
     assert langid.predict(none, langid.learn(none)).count() == 0
     pages = spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string").where("false")
     assert htmltext.main_text(pages).count() == 0
+
+
+def brute_hits(docs, bench):
+    """Hit words of each document, by comparing every window."""
+    windows = set()
+    for _, t in bench:
+        w = decontam.words_of((t or "").encode())
+        n = min(13, len(w))
+        windows |= {tuple(w[a : a + n]) for a in range(len(w) - n + 1) if n}
+    out = {}
+    for i, t in docs:
+        w = decontam.words_of((t or "").encode())
+        out[i] = {a + k for n in {len(x) for x in windows} for a in range(len(w) - n + 1) if tuple(w[a : a + n]) in windows for k in range(n)}
+    return out
+
+
+@pytest.mark.parametrize("most", [30, 400_000])
+def test_hits_of_several_automata(spark, monkeypatch, most):
+    """A benchmark that needs many automata gives what one gives: intervals of a document are united over all."""
+    monkeypatch.setattr(decontam, "AUTOMATON_WORDS", most)
+    rng = random.Random(21)
+    bench = [(f"i{k}" if k % 7 else None, words(rng, rng.choice([5, 13, 40]), 9)) for k in range(25)] + [("none", None), ("empty", "!")]
+    docs = []
+    for k in range(40):
+        parts = [words(rng, rng.choice([0, 20, 200]), 9) for _ in range(3)]
+        for _ in range(rng.randrange(3)):
+            item = rng.choice(bench[:25])[1].split()
+            a = rng.randrange(len(item))
+            parts.insert(rng.randrange(4), " ".join(item[max(0, a - 15) : a + 15]))
+        docs.append((k, ", ".join(parts)))
+    docs += [(50, None), (51, ""), (52, bench[3][1] + "\n" + bench[4][1]), (52, bench[3][1] + "\n" + bench[4][1]), (None, bench[5][1])]
+    table = frame(spark, [(i, t, "") for i, t in docs])
+    items = spark.createDataFrame(bench, "item_id string, text string")
+    want = brute_hits(docs, bench)
+    got = decontam.hits(table, items).collect()
+    assert len(got) == len(docs) and any(want.values())
+    for r in got:
+        assert {k for s, e in zip(r.starts, r.ends) for k in range(s, e)} == want[r.doc_id]
+        assert all(a < b for a, b in zip(r.ends, r.starts[1:]))
+    bad = {i for i, t in docs if want[i] and 20 * len(want[i]) >= len(decontam.words_of((t or "").encode()))}
+    kept = decontam.clean(table, items)
+    assert kept.columns == table.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in docs} - bad
+
+    cut = {}
+    for r in decontam.without_spans(table, items, words=20).collect():
+        assert r.n_chars == len(r.text or "")
+        cut[r.doc_id] = r.text
+    for r in got:
+        text = dict(docs)[r.doc_id]
+        spans = [(s, e) for s, e in zip(r.starts, r.ends) if r.doc_id in bad or e - s >= 20]
+        w = decontam.words_of((text or "").encode())
+        left = [x for k, x in enumerate(w) if not any(s <= k < e for s, e in spans)]
+        assert decontam.words_of((cut[r.doc_id] or "").encode()) == left
+        assert spans or cut[r.doc_id] == text
+
+
+def test_spans_go_and_the_rest_stays(spark):
+    item = " ".join(f"q{k}" for k in range(30))
+    text = f"Before, it -- {item.upper()}. \u00c4fter <b>{item}</b>!  " + "word " * 2000
+    docs = frame(spark, [(1, text, "")]).selectExpr("*", "1 as id2", "text as `spans`", "doc_id as `row`")
+    bench = spark.createDataFrame([("a", item)], "item_id string, text string")
+    row = decontam.without_spans(docs, bench).first()
+    assert row.text == "Before, it -- . \u00c4fter <b></b>!  " + "word " * 2000 and row.spans == text
+    assert decontam.without_spans(docs, bench, words=61).first().text == text
+    assert decontam.without_spans(docs, bench.where("false")).first().text == text
+
+
+def thue_morse(levels):
+    a, b = "a", "b"
+    for _ in range(levels):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_long_words_that_a_polynomial_takes_for_equal(spark):
+    """The two Thue-Morse words of 1,024 letters and more have equal polynomials modulo 2^64 at any base."""
+    for levels in (4, 10, 11):
+        one, other = thue_morse(levels)
+        plain = [f"w{i}" for i in range(60)]
+        docs = [(1, " ".join([*plain[:30], one, *plain[30:]]), "en"), (2, " ".join([*plain[:30], other, *plain[30:]]), "en")]
+        docs += [(3, docs[0][1], "en")]
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in debruijn.digest(debruijn.repeated_words(frame(spark, docs))).collect()}
+        assert got == debruijn.brute_force(text_of(docs)) and got[2][1] == 0 and got[3][1] == 61
+
+
+def test_word_numbers():
+    """Words of at most eight bytes are told apart by all their bytes, zero bytes and lengths included."""
+    some = [b"a", b"a\0", b"\0", b"\0\0", b"ab", b"ba", b"abcdefgh", b"abcdefg", b"abcdefghi", b"x" * 5000, b"x" * 5001]
+    numbers = anchors.word_symbols(b" ".join(some) + b"\n")[0]
+    assert len(set(numbers.tolist())) == len(some)
+    assert anchors.word_symbols(b"  " + some[6] + b" ")[0][0] == numbers[6]
+
+
+CLASHING = ["__id", "__at", "__n", "__tag", "__kept", "__kept_tag", "row", "id", "at", "n", "tag", "least", "kept_id", "kept_tag", "fp", "c0", "with.dot"]
+
+
+@pytest.mark.parametrize("stage", [simhash.keep_one, suffixes.without_repeats])
+def test_stages_keep_columns_of_any_name(spark, rows, stage):
+    plain = frame(spark, rows).select("doc_id", "text", "lang", "n_chars")
+    clashing = plain.selectExpr("*", *[f"concat('{c}', doc_id) AS `{c}`" for c in CLASHING])
+    got = stage(clashing)
+    assert got.columns == clashing.columns
+    want = sorted(tuple(r) for r in stage(plain).collect())
+    kept = got.collect()
+    assert sorted(tuple(r)[:4] for r in kept) == want
+    assert all(r[c] == f"{c}{r.doc_id}" for r in kept for c in CLASHING)
+
+
+def test_html_names_inside_an_article():
+    """Readers' replies go; a section that is about a search stays."""
+    page = "<body><div class='search'>find</div><article><h1>T</h1><section class='search'><p>The search went on.</p></section><div class='replies'><p>me too</p></div><p>End</p></article><div id=login>x</div><p>beside</p></body>"
+    lines, _ = htmltext.lines_of(page)
+    assert [t for t, inside in lines if inside] == ["T", "The search went on.", "End"]
+    assert [t for t, inside in lines if not inside] == ["beside"]
+
+
+GIVEN = "/root/testdata/sf0.01/pages.parquet"
+
+
+@pytest.mark.skipif(not os.path.exists(GIVEN), reason="supplied tables are absent")
+def test_html_given_pages_without_article_elements(spark):
+    """With article elements renamed, differencing and the names of elements alone decide about the given pages."""
+    from pyspark.sql import functions as F
+
+    given = spark.read.parquet(GIVEN)
+    want = {r.page_id: r.text.split("\n") for r in htmltext.main_text(given).collect()}
+    plain = given.withColumn("html", F.regexp_replace("html", "(?i)(</?)(article|main)\\b", "$1div"))
+    got = {r.page_id: r.text.split("\n") for r in htmltext.main_text(plain).collect()}
+    outlines = [(r.page_id, r.url, [t for t, _ in htmltext.lines_of(r.html)[0]]) for r in plain.collect()]
+    assert {i: "\n".join(x) for i, x in got.items()} == html_by_brute_force(outlines)
+    own, kept, right = (sum(x) for x in zip(*[(len(want[i]), len(got[i]), sum((Counter(want[i]) & Counter(got[i])).values())) for i in want]))
+    print("article lines", own, "kept lines", kept, "of them article lines", right)
+    assert right / own > 0.95 and right / kept > 0.95
+
+
+def test_html_self_closing_pictures():
+    for picture in ('<svg width="1"/>', "<math />", "<SVG/>", '<svg viewBox="0 0 1 1"><path d="M0"/></svg>'):
+        lines, found = htmltext.lines_of(f"<article>{picture}<p>Hello world</p></article>")
+        assert found and lines == [("Hello world", True)]
