@@ -11,10 +11,12 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.values import lookup
 from ..operators.lookups import built_in_aliases
 from ..plans import gold, serving, silver
+from ..session import run_folder
 from .readers import read_mapping
 from .tables import stored
 
@@ -134,8 +136,22 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.gold_ml_features(fact(spark, sf_dir), calendar(spark, sf_dir))
 
 
+_FACTS: dict[tuple[str, str], tuple[str, StructType]] = {}
+
+
+def built_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as serving queries find it: built and stored by the first of them, read by all, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FACTS:
+        path, built = run_folder(spark, "fact"), fact(spark, sf_dir)
+        built.write.parquet(path)
+        _FACTS[key] = path, built.schema
+    path, schema = _FACTS[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def frame(spark: SparkSession, sf_dir: str, currency: str = "USD") -> DataFrame:
-    prices = serving.serving_prices(fact(spark, sf_dir), gold.dim_commodity(read_mapping(spark)))
+    prices = serving.serving_prices(built_fact(spark, sf_dir), gold.dim_commodity(read_mapping(spark)))
     return serving.serving_frame(prices, currency)
 
 

@@ -46,7 +46,11 @@ def plan(df):
 SOLVERS = {"window_models", "mllib_forecast", "mllib_holdout_error"}
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+#: Their plans only read tables that they have written.
+READERS = {n for n in QUERIES if n.startswith(("stream_state_", "incremental_", "warehouse_"))} | {"published_forecast", "bucketed_upsert"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - READERS))
 def test_no_pairwise_joins_or_python_rows(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for operator in ("NestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
