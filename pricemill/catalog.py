@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from . import domain, schemas
 from .functions import columns as C
 from .functions.calendar import calendar_columns
-from .functions.values import lookup
+from .functions.values import label, lookup
 from .operators import quality as Q
 from .operators import series as S
 from .operators.lookups import built_in_aliases, previous_close, resolve_alias
@@ -387,6 +387,13 @@ def frame_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.date_bounds(D.frame(spark, sf_dir))
 
 
+@query
+def frame_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commodities to choose from, with their display names."""
+    found = serving.members(D.frame(spark, sf_dir))
+    return found.select("commodity", label(F.col("commodity"), domain.DISPLAY_NAMES).alias("name"))
+
+
 @query
 def filtered_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three chosen commodities in the last three years of all data, up to a day."""

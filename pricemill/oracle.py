@@ -524,6 +524,11 @@ SELECT min(price_date) AS min_date, max(price_date) AS max_date, count(*) AS row
        count(DISTINCT commodity) AS commodities FROM frame""",
     "frame",
 )
+sql(
+    "frame_members",
+    f"SELECT DISTINCT commodity, {cases('commodity', domain.DISPLAY_NAMES, 'commodity')} AS name FROM frame",
+    "frame",
+)
 sql(
     "filtered_range",
     """

@@ -73,6 +73,11 @@ def date_bounds(df: DataFrame) -> DataFrame:
     )
 
 
+def members(df: DataFrame) -> DataFrame:
+    """The commodities of a frame, in order."""
+    return df.select("commodity").distinct().orderBy("commodity")
+
+
 def in_selection(
     df: DataFrame, commodities: Sequence[str], start: date | Column | None = None, end: date | Column | None = None
 ) -> DataFrame:
