@@ -117,10 +117,15 @@ def ridge_gradient(windows: DataFrame, models: DataFrame, key: str, predicted, r
     """Per group, the steepest component of the objective's gradient at the fitted parameters, computed from the
     windows themselves: 0 at the minimum. ``predicted`` is the model's value for a window."""
     error = predicted - F.col(target)
-    cells = windows.join(models, key).select(key, "intercept", "weights", target, error.alias("error"), F.posexplode(F.flatten("steps")).alias("cell", "x"))
+    pairs = F.zip_with(F.flatten("steps"), "weights", lambda x, w: F.struct(x.alias("x"), w.alias("w")))
+    # The error is computed before the cells are spread, once for each window.
+    told = windows.join(models, key).select(key, target, error.alias("error"), pairs.alias("_pairs"))
+    cells = told.select(key, target, "error", F.posexplode("_pairs").alias("cell", "_pair")).select(
+        key, target, "error", "cell", "_pair.x", "_pair.w"
+    )
     slope = F.avg(F.col("x") * F.col("error")) - F.avg("x") * F.avg("error")
     # A target that never changes leaves all weights at 0.
-    pull = F.coalesce(F.lit(reg_param) / F.nullif(F.stddev_pop(target), F.lit(0.0)), F.lit(0.0)) * F.var_pop("x") * F.get(F.first("weights"), F.col("cell"))
+    pull = F.coalesce(F.lit(reg_param) / F.nullif(F.stddev_pop(target), F.lit(0.0)), F.lit(0.0)) * F.var_pop("x") * F.max("w")
     by_cell = cells.groupBy(key, "cell").agg((slope + pull).alias("slope"), F.avg("error").alias("bias"), F.count("*").alias("windows"))
     return by_cell.groupBy(key).agg(
         F.max("windows").alias("windows"), F.count("*").alias("cells"), F.max(F.abs("slope")).alias("steepest"), F.max(F.abs("bias")).alias("bias")
