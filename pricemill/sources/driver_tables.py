@@ -18,7 +18,7 @@ from ..operators.lookups import built_in_aliases
 from ..plans import gold, serving, silver
 from ..session import run_folder
 from .readers import read_mapping
-from .tables import stored
+from .tables import folder_exists, stored
 
 #: Spelling of the commodity name in the raw daily and monthly rows, by order priority.
 DAILY_NAMES = {
@@ -140,9 +140,10 @@ _FACTS: dict[tuple[str, str], tuple[str, StructType]] = {}
 
 
 def built_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact as serving queries find it: built and stored by the first of them, read by all, once per application."""
+    """The fact as serving queries find it: built and stored by the first of them, read by all, once per application.
+    It is built again if its folder has been cleared away."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FACTS:
+    if key not in _FACTS or not folder_exists(spark, f"{_FACTS[key][0]}/_SUCCESS"):
         path, built = run_folder(spark, "fact"), fact(spark, sf_dir)
         built.write.parquet(path)
         _FACTS[key] = path, built.schema

@@ -73,6 +73,11 @@ def stored(spark: SparkSession, **frames: DataFrame) -> dict[str, DataFrame]:
         return dict(pool.map(write, frames.items()))
 
 
+def folder_exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 class TableStore:
     """Tables as parquet folders ``<root>/<layer>/<name>`` on storage that all executors share.
 
@@ -245,8 +250,7 @@ class TableStore:
         )
 
     def exists(self, name: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+        return folder_exists(self.spark, self.path(name))
 
     def count(self, name: str) -> int:
         return self.read(name).count()

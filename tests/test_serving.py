@@ -99,3 +99,21 @@ def test_summary(frame):
     assert lines[10].startswith("  Năm 2022: Cà phê: 7.09 | Gạo: 2.18")
     assert lines[-3] == "Dữ liệu bắt đầu từ: 01/2022 → Cập nhật mới nhất: 03/2024"
     assert lines[-2:] == domain.SUMMARY_FOOTER
+
+
+def test_serving_queries_read_one_fact(spark):
+    """The fact is stored once, and built again where its folder is gone."""
+    import os
+
+    from pricemill.sources import driver_tables as D
+
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("supplied tables are absent")
+    first = D.built_fact(spark, folder)
+    assert D.built_fact(spark, folder).inputFiles() == first.inputFiles()
+    key = (spark.sparkContext.applicationId, folder)
+    path, schema = D._FACTS[key]
+    D._FACTS[key] = f"{path}-gone", schema
+    again = D.built_fact(spark, folder)
+    assert again.inputFiles() != first.inputFiles() and again.count() == first.count() > 0
