@@ -14,6 +14,8 @@ from pricemill.session import shared_folder
 
 #: Stands for a null id in comparisons; it is smaller than any other.
 NO_ID = -(2**63)
+#: Setting for the bytes of an Arrow batch, and what operators that send whole texts to Python put there.
+BATCH_BYTES, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +31,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session by BATCH bytes. Spark's own bound of 64 MB is held several times over by
+    the JVM and by Python, for each running task. A bound that the session has been given stays; this one stays set, as
+    frames are computed after the operator has returned."""
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, str(BATCH))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -4,7 +4,8 @@ Suffixes that start equal windows of 100 bytes share an anchor (`anchors`), so t
 Runs of windows whose class has an earlier occurrence repeat as a whole. The suffixes left open are sorted, one bucket
 at a time. Suffixes are compared by at most 31 bytes: the positions whose number modulo 31 lies in a difference cover
 are ranked beforehand, and for any two suffixes some distance below 31 leads both to ranked positions, whose ranks
-decide a longer tie. Memory is bounded by the block of text a task holds, not by the length of ties.
+decide a longer tie. Memory is bounded by the block of text a task holds, not by the length of ties; texts reach the
+tasks' Python in small batches.
 """
 
 from __future__ import annotations
@@ -21,14 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricemill.llm.anchors import _SYMBOL, by_document, byte_symbols, gram_hashes, settle
-from pricemill.llm.common import NO_ID, bytes_of, keyed, partitions, runs, unkeyed
+from pricemill.llm.common import NO_ID, bytes_of, keyed, partitions, runs, small_batches, unkeyed
 from pricemill.sources.tables import stored
 
 SIZE, GRAM = 100, 28
 #: A planar difference set: every difference modulo PERIOD is one of two members, exactly once.
 PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 #: Bytes of open runs that are sorted together, and suffixes in a bucket.
-BLOCK, BUCKET = 2 << 20, 1 << 16
+BLOCK, BUCKET = 1 << 19, 1 << 16
 #: Open runs in a bucket from which its windows are told apart by hash instead, row by row, so that no task holds it.
 CROWD = 20_000
 
@@ -40,10 +41,10 @@ _BOTH = np.array([[next(d for d in range(PERIOD) if _IN_COVER[(r + d) % PERIOD]
 
 def _eights(buffer: np.ndarray) -> np.ndarray:
     """Eight bytes from each position on as one number, so that numbers compare as the bytes do."""
-    padded = np.concatenate([buffer, np.zeros(8, np.uint8)]).astype(np.uint64)
     out = np.zeros(len(buffer), np.uint64)
     for j in range(8):
-        out = (out << np.uint64(8)) | padded[j : j + len(buffer)]
+        out <<= np.uint64(8)
+        out[: max(len(buffer) - j, 0)] |= buffer[j:]
     return out
 
 
@@ -70,8 +71,8 @@ def _ranked(eights: np.ndarray, pos: np.ndarray, depth: int, rank: np.ndarray |
 
 def cover_ranks(eights: np.ndarray, n: int, depth: int) -> np.ndarray:
     """Rank by `depth` bytes at each covered position, -1 elsewhere."""
-    sample = np.flatnonzero(_IN_COVER[np.arange(n) % PERIOD])
-    out = np.full(n + PERIOD, -1, np.int64)
+    sample = np.flatnonzero(np.resize(_IN_COVER, n))
+    out = np.full(n + PERIOD, -1, np.int32)
     out[sample] = _ranked(eights, sample, depth)
     return out
 
@@ -272,8 +273,9 @@ def repeated_bytes(docs: DataFrame, size: int = SIZE, gram: int = GRAM, id_col:
     A null or empty text has no bytes. A null id counts as smaller than any other; rows that share an id are ordered
     by a hash of their text. Rows that repeat both are one document, and each gets its result. An empty table gives no
     rows. Long texts are compared whole, in overlapping pieces that no window falls between. Other columns are not
-    looked at, whatever their names.
+    looked at, whatever their names. The session gets smaller Arrow batches, unless their bytes were set (`small_batches`).
     """
+    small_batches(docs.sparkSession)
     texts = keyed(docs, id_col, text_col)
     return texts.join(_found(texts, size, gram), ["id", "tag"], "left").select(unkeyed().alias("doc_id"), "text", "at", "n").mapInArrow(_cut(size), KEPT)
 
@@ -286,7 +288,9 @@ def digest(found: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     """The documents, all columns, their texts without repeated bytes. A character goes if all of its
     bytes do. A column n_chars is counted anew. Documents of which nothing but white space is left, but had a text, go.
-    Null and empty texts stay, other columns keep their names and values, and an empty table stays empty."""
+    Null and empty texts stay, other columns keep their names and values, and an empty table stays empty. The session
+    gets smaller Arrow batches, unless their bytes were set (`small_batches`)."""
+    small_batches(docs.sparkSession)
     texts = keyed(docs, "doc_id", "text")
     # The given columns travel as one, whatever their names, and are then told by place.
     given = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tag"))

@@ -3,14 +3,18 @@
 import hashlib
 import os
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from pricemill.llm import anchors, blockmax, bpe, debruijn, decontam, htmltext, langid, quality, sharding, simhash, suffixes
+from pricemill.llm.common import BATCH_BYTES
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, id string, tag long"
 
@@ -201,6 +205,48 @@ def test_repeated_bytes_in_crowded_buckets(spark, rows, monkeypatch):
     assert got == suffixes.brute_force(text_of(rows))
 
 
+def test_repeated_bytes_take_texts_in_small_batches(spark, monkeypatch):
+    def watched(make):
+        def bounded(batches):
+            for b in batches:
+                assert b.nbytes < 6 << 20
+                yield b
+
+        return lambda size: lambda batches: make(size)(bounded(batches))
+
+    for name in ("_fetch", "_cut"):
+        monkeypatch.setattr(suffixes, name, watched(getattr(suffixes, name)))
+    before = spark.conf.get(BATCH_BYTES, None)
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id AS doc_id", "concat(repeat(md5(cast(id AS string)), 100), repeat('x', 1000)) AS text")
+    try:
+        spark.conf.unset(BATCH_BYTES)
+        found = suffixes.digest(suffixes.repeated_bytes(docs)).agg(F.count("*"), F.sum("n_bytes"), F.min(F.when(F.col("doc_id") > 0, F.col("n_removed")))).first()
+        # A text's own 32 bytes are new once; their repeats and the x after them go.
+        assert tuple(found) == (3000, 3000 * 4200, 4168)
+        spark.conf.set(BATCH_BYTES, "1m")
+        suffixes.repeated_bytes(docs)
+        assert spark.conf.get(BATCH_BYTES) == "1m"
+    finally:
+        spark.conf.unset(BATCH_BYTES) if before is None else spark.conf.set(BATCH_BYTES, before)
+
+
+def test_open_runs_are_sorted_in_small_memory():
+    rng = np.random.default_rng(2)
+    rows = []
+    for key in range(300):
+        grams = rng.integers(97, 123, 28, dtype=np.uint8).tobytes()
+        h = int(anchors.gram_hashes(anchors._SYMBOL[np.frombuffer(grams, np.uint8)], 28).view(np.int64)[0])
+        rows += [(h, i, 0, 0, 37, rng.integers(97, 123, 72, dtype=np.uint8).tobytes() + grams + rng.integers(97, 123, 36, dtype=np.uint8).tobytes()) for i in range(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["key", "id", "tag", "at", "n", "data"])
+    tracemalloc.start()
+    try:
+        found = sum(b.num_rows for b in suffixes._resolve(100, 28)([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == 0 and peak < 64 << 20
+
+
 def test_repeated_words_in_crowded_buckets(spark, rows, monkeypatch):
     monkeypatch.setattr(debruijn, "CROWD", 2)
     got = {r.doc_id: tuple(r)[1:] for r in debruijn.digest(debruijn.repeated_words(frame(spark, rows))).collect()}
