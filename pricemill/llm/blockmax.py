@@ -180,7 +180,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, id_col: str = "vec_id
         F.col("dims").alias("q_dims"),
         F.col("cells").alias("q_cells"),
     )
-    found = batches.join(index, "group").mapInArrow(_search(k), "query_id long, vec_id long, score long")
+    # Spark sizes the batches by the rows before they were packed and copied to every block, far too low for a broadcast.
+    found = batches.join(index.hint("merge"), "group").mapInArrow(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -346,6 +346,18 @@ def test_top_k(spark):
     assert blockmax.top_k(df.where("false")).count() == 0
 
 
+def test_top_k_broadcasts_no_batches(spark, monkeypatch):
+    """Batches copied to every block outgrow what Spark expects of them."""
+    monkeypatch.setattr(blockmax, "BLOCK", 64)
+    monkeypatch.setattr(blockmax, "BATCH", 8)
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, [float(x) for x in rng.normal(size=8)]) for i in range(1000)], "vec_id long, embedding array<double>")
+    found = blockmax.top_k(df)
+    assert len(found.collect()) == 100
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_top_k_stops_only_on_proof():
     rng = np.random.default_rng(6)
     v = rng.integers(-300, 300, (400, 24))
