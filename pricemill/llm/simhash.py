@@ -72,7 +72,8 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """(u, v) between distinct fingerprints fps.fp; same components as all pairs within two bits."""
     index = variants(fps)
     sizes = index.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    met = stored(index.join(sizes, "key"))
+    # Spark sizes the index by the fingerprints before their variants, 64 times too low for a broadcast.
+    met = stored(index.join(sizes.hint("merge"), "key"))
     few = met.where(F.col("n") <= crowd).select("key", "fp")
     pairs = (
         few.select("key", F.col("fp").alias("u"))

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from pricemill.llm import anchors, blockmax, bpe, debruijn, decontam, htmltext, langid, quality, sharding, simhash, suffixes
-from pricemill.llm.common import BATCH_BYTES
+from pricemill.llm.common import BATCH_BYTES, stored
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, id string, tag long"
 
@@ -139,6 +139,23 @@ def test_simhash_crowded_buckets_lose_no_link(spark):
     assert joined(crowded) == joined(want)
 
 
+def test_simhash_broadcasts_no_variants(spark, monkeypatch):
+    """The 64 variants of each fingerprint outgrow what Spark expects of them."""
+    plans = []
+
+    def watched(df):
+        out = stored(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(simhash, "stored", watched)
+    rng = random.Random(3)
+    fps = [rng.getrandbits(60) for _ in range(500)]
+    found = simhash.links(spark.createDataFrame([(f,) for f in [*fps, *(f ^ 5 for f in fps)]], "fp long")).collect()
+    assert {tuple(r) for r in found} == {(min(f, f ^ 5), max(f, f ^ 5)) for f in fps}
+    assert "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_components_of_a_long_chain(spark):
     from pricemill.llm.common import components
 
