@@ -11,7 +11,7 @@ import compare  # noqa: E402
 import corpus_pipeline  # noqa: E402
 
 from pricemill.llm import bpe, decontam, htmltext, quality, simhash, suffixes  # noqa: E402
-from pricemill.llm.common import table  # noqa: E402
+from pricemill.llm.common import stored, table  # noqa: E402
 from pricemill.llm.oracle import ORACLES  # noqa: E402
 from pricemill.llm.queries import QUERIES  # noqa: E402
 
@@ -106,6 +106,23 @@ def test_pipeline_is_its_stages(spark):
     assert got == want
 
 
+def test_stage_of_near_duplicates_broadcasts_no_variants(spark, monkeypatch):
+    """Spark expects the 64 variants of each fingerprint to be as small as the fingerprints, which must not put them in the driver."""
+    plans = []
+
+    def watched(df):
+        out = stored(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(simhash, "stored", watched)
+    docs = spark.createDataFrame([(i, f"one text of number {i // 2}") for i in range(400)], "doc_id long, text string")
+    kept = corpus_pipeline.distinct(spark, docs, SF)
+    assert {r.doc_id for r in kept.collect()} <= set(range(0, 400, 2))
+    variants = [p for p in plans if "explode" in p]
+    assert len(variants) == 1 and "SortMergeJoin" in variants[0] and "Broadcast" not in variants[0]
+
+
 def test_pages_keep_their_article(spark):
     """The supplied pages hold one article; every paragraph of it stays, and nothing else does."""
     import html
