@@ -27,6 +27,9 @@ BLOCK, BATCH = 8192, 512
 LEVELS = 16
 #: Possible members per query at which reading stops.
 FEW = 4
+#: So many queries of a batch tell, after each segment, whether the bounds of all are worth their computation: not as long
+#: as these want more than the share HOPE of the vectors.
+PROBES, HOPE = 16, 0.5
 SCALE = 256.0
 
 
@@ -103,7 +106,20 @@ def best_in_block(
     place = np.arange(len(v))
     scores = np.zeros((len(q), len(v)))
     rest = v.astype(np.float64)
+    added = rest.copy()  # what was not read when the scores were last added to
+    some = np.arange(0, len(q), max(1, len(q) // PROBES))
     begin, read = 0, 0 if exact else len(postings)
+
+    def bounds(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The scores of these queries with all that is read, and which vectors they can still want."""
+        now = scores[at] + qf[at] @ (added - rest).T
+        slack = np.sqrt((qf[at] ** 2) @ (rest != 0).T) * np.sqrt((rest**2).sum(axis=1))
+        hidden = own[np.ix_(at, alive)]
+        low = np.where(hidden, -np.inf, now - slack)
+        kth = -np.partition(-low, k - 1, axis=1)[:, k - 1]
+        # A relative margin covers the rounding of the square roots.
+        return now, ~hidden & (now + slack >= kth[:, None] - 1e-6 * (1 + np.abs(kth[:, None])))
+
     for end in ends.tolist() if exact else ():
         if begin == end:
             continue
@@ -111,26 +127,20 @@ def best_in_block(
         kept = place[rows] >= 0
         rows, cols, begin = place[rows[kept]], cols[kept], end
         read += len(rows)
-        part = np.zeros(rest.shape)
-        part[rows, cols] = rest[rows, cols]
         rest[rows, cols] = 0
-        scores += qf @ part.T
-        if len(alive) > k:
-            unread = rest != 0
-            slack = np.sqrt((qf**2) @ unread.T) * np.sqrt((rest**2).sum(axis=1))
-            low = np.where(own[:, alive], -np.inf, scores - slack)
-            kth = -np.partition(-low, k - 1, axis=1)[:, k - 1]
-            # A relative margin covers the rounding of the square roots.
-            wanted = ~own[:, alive] & (scores + slack >= kth[:, None] - 1e-6 * (1 + np.abs(kth[:, None])))
-            members = np.zeros_like(own)
-            members[:, alive] = wanted
-            some = wanted.any(axis=0)
-            if wanted.sum() <= FEW * k * len(q):
-                break
-            if not some.all():
-                alive, scores, rest = alive[some], scores[:, some], rest[some]
-                place = np.full(len(v), -1)
-                place[alive] = np.arange(len(alive))
+        if len(alive) <= k or end < len(postings) and bounds(some)[1].mean() > HOPE:
+            continue
+        scores, wanted = bounds(np.arange(len(q)))
+        added = rest.copy()
+        members = np.zeros_like(own)
+        members[:, alive] = wanted
+        left = wanted.any(axis=0)
+        if wanted.sum() <= FEW * k * len(q):
+            break
+        if not left.all():
+            alive, scores, rest, added = alive[left], scores[:, left], rest[left], added[left]
+            place = np.full(len(v), -1)
+            place[alive] = np.arange(len(alive))
     out = []
     for i in range(len(q)):
         at = np.nonzero(members[i])[0]

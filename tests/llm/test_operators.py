@@ -405,6 +405,19 @@ def test_top_k_reads_a_part_of_clustered_postings():
     assert np.median(shares) < 0.5
 
 
+def test_top_k_computes_bounds_where_they_can_tell(monkeypatch):
+    """On vectors without clusters the bounds of all queries are left out while a few queries still want most vectors."""
+    rng = np.random.default_rng(10)
+    v = np.floor(64 * rng.normal(size=(1500, 32))).astype(np.int64)
+    ids = np.arange(1500)
+    cells, partition = [], np.partition
+    monkeypatch.setattr(np, "partition", lambda a, *more, **named: (cells.append(a.size), partition(a, *more, **named))[1])
+    got, _ = blockmax.best_in_block(ids[:200], v[:200], ids, v, 5)
+    want = [sorted((-int(v[i] @ v[j]), j) for j in range(1500) if j != i)[:5] for i in range(200)]
+    assert got == [(i, j, -s) for i in range(200) for s, j in want[i]]
+    assert sum(cells) < 0.5 * blockmax.LEVELS * 200 * 1500
+
+
 def test_top_k_segments_are_in_order_of_impact():
     rng = np.random.default_rng(8)
     v = rng.integers(-50, 50, (30, 7))
